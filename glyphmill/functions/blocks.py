@@ -1,14 +1,16 @@
-"""Cutting one text into blocks of at most 600 characters, as nested folds.
+"""Cutting one text into blocks of at most 600 characters, as one narrow expression.
 
-``split_blocks`` is a single narrow expression: no shuffle, no Python worker.
-A fold must hand on its whole output at every step, so blocks are collected in
-two tiers (a short open list, closed into a long one when full). Appending then
-copies a few references instead of every block found so far, and a text of many
-megabytes still takes time in line with its length.
+No shuffle and no Python worker. Spark copies a fold's state at every step, so
+the folds here see lengths only and answer one letter per piece: where blocks
+open and close. They run in stretches, so even the letters are copied seldom.
+The blocks are then sliced from the pieces, and the time stays in line with the
+length of the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,66 +27,114 @@ LCG_MASK = 0x7FFFFFFF
 
 SENTENCE_GAP = rf"(?<=[.!?]){WS_RUN}"
 
-_TIER = 64
+# What a piece does to the block being filled.
+KEEP, OPEN, CLOSE, LONG = "k", "o", "c", "l"
+
+_STRETCH = 1000
 _NO_BLOCKS = "cast(array() as array<string>)"
-_NO_TIERS = "cast(array() as array<array<string>>)"
 
 
 def next_state(state: Column) -> Column:
     # Masked first: the low 31 bits are all that count and the product cannot overflow.
-    low = state.bitwiseAND(F.lit(LCG_MASK))
-    return (low * LCG_MULTIPLIER + LCG_INCREMENT).bitwiseAND(F.lit(LCG_MASK).cast("long"))
+    mask = F.lit(LCG_MASK).cast("long")
+    return (state.bitwiseAND(mask) * LCG_MULTIPLIER + LCG_INCREMENT).bitwiseAND(mask)
 
 
 def target_size(state: Column) -> Column:
     return (state % TARGET_SPAN + TARGET_LOW).cast("int")
 
 
-def _start(*fields: Column) -> Column:
-    return F.struct(*fields, F.expr(_NO_TIERS).alias("open"), F.expr(_NO_TIERS).alias("closed"))
-
+def _marks(
+    pieces: Column,
+    start: dict[str, Column],
+    step: Callable[[Column, Column], tuple[Column, dict[str, Column]]],
+) -> Column:
+    """One letter per piece, as an array.
 
-def _emit(acc: Column, blocks: Column) -> tuple[Column, Column]:
-    """The two output tiers of ``acc`` after adding an array of blocks."""
-    some = F.size(blocks) > 0
-    grown = F.concat(acc["open"], F.array(blocks))
-    full = some & (F.size(acc["open"]) >= _TIER - 1)
-    return (
-        F.when(full, F.expr(_NO_TIERS)).when(some, grown).otherwise(acc["open"]).alias("open"),
-        F.when(full, F.concat(acc["closed"], F.array(F.flatten(grown))))
-        .otherwise(acc["closed"])
-        .alias("closed"),
+    ``step(state, length)`` gives the letter and the next state. The outer fold
+    goes over stretches of pieces, the inner one over the pieces of a stretch.
+    """
+    last = F.floor((F.greatest(F.size(pieces), F.lit(1)) - 1) / _STRETCH).cast("int")
+    stretches = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda k: F.transform(F.slice(pieces, k * _STRETCH + 1, _STRETCH), F.length),
     )
 
+    def state(values: dict[str, Column], marks: Column) -> Column:
+        return F.struct(*[v.alias(k) for k, v in values.items()], marks.alias("marks"))
 
-def _one_if(cond: Column, block: Column) -> Column:
-    return F.when(cond, F.array(block)).otherwise(F.expr(_NO_BLOCKS))
+    def one(acc: Column, n: Column) -> Column:
+        mark, values = step(acc, n)
+        return state(values, F.concat(acc["marks"], mark))
 
+    def stretch(acc: Column, lengths: Column) -> Column:
+        return F.aggregate(
+            lengths,
+            state({k: acc[k] for k in start}, F.lit("")),
+            one,
+            lambda end: state({k: end[k] for k in start}, F.concat(acc["marks"], end["marks"])),
+        )
 
-def _finish(acc: Column) -> Column:
-    return F.flatten(F.concat(acc["closed"], acc["open"]))
+    folded = F.aggregate(stretches, state(start, F.lit("")), stretch, lambda end: end["marks"])
+    return F.split(folded, "")
 
 
-def _finish_with_rest(acc: Column) -> Column:
-    return F.concat(_finish(acc), _one_if(acc["buf"] != "", acc["buf"]))
+def _runs(
+    n: Column,
+    opens: Callable[[Column], Column],
+    build: Callable[[Column, Column], Column],
+) -> Column:
+    """``build(first, past)`` for each run of the pieces 1..n; ``opens(i)`` says where one starts."""
+    starts = F.filter(F.sequence(F.lit(1), n), lambda i: (i == 1) | opens(i))
+    made = let(
+        starts,
+        lambda at: F.transform(at, lambda i, k: build(i, F.coalesce(F.get(at, k + 1), n + 1))),
+    )
+    return F.when(n > 0, made)
+
 
+def _mark(marks: Column, i: Column) -> Column:
+    return F.get(marks, i - 1)
 
-def _joined(acc: Column, sep: str, piece: Column) -> Column:
-    return F.when(acc["buf"] == "", piece).otherwise(F.concat(acc["buf"], F.lit(sep), piece))
+
+def _glued(pieces: Column, sep: str, first: Column, past: Column) -> Column:
+    return F.array_join(F.slice(pieces, first, past - first), sep)
 
 
 def _pack_words(sentence: Column) -> Column:
     """Words packed to the limit. A first word over the limit leaves an empty block before it."""
 
-    def step(acc: Column, word: Column) -> Column:
-        joined = _joined(acc, " ", word)
-        over = F.length(joined) > MAX_BLOCK_CHARS
-        return F.struct(
-            F.when(over, word).otherwise(joined).alias("buf"),
-            *_emit(acc, _one_if(over, acc["buf"])),
+    def step(acc: Column, n: Column) -> tuple[Column, dict[str, Column]]:
+        over = acc["len"] + 1 + n > MAX_BLOCK_CHARS
+        return (
+            F.when(over, OPEN).otherwise(KEEP),
+            {"len": F.when(over, n).otherwise(acc["len"] + 1 + n)},
         )
 
-    return F.aggregate(words(sentence), _start(F.lit("").alias("buf")), step, _finish_with_rest)
+    def blocks(v: Column) -> Column:
+        ws, marks = v["pieces"], v["marks"]
+        packed = _runs(
+            F.size(ws),
+            lambda i: _mark(marks, i) == OPEN,
+            lambda i, j: _glued(ws, " ", i, j),
+        )
+        return F.when(marks[0] == OPEN, F.concat(F.array(F.lit("")), packed)).otherwise(packed)
+
+    return _with_marks(words(sentence), {"len": F.lit(-1)}, step, blocks)
+
+
+def _with_marks(pieces, start, step, body) -> Column:
+    def marked(p: Column) -> Column:
+        return let(F.struct(p.alias("pieces"), _marks(p, start, step).alias("marks")), body)
+
+    return let(pieces, marked)
+
+
+def sentences(paragraph: Column) -> Column:
+    return F.filter(
+        F.transform(F.split(paragraph, SENTENCE_GAP), strip),
+        lambda s: (s != "") & ~is_noise(s),
+    )
 
 
 def pack_sentences(paragraph: Column) -> Column:
@@ -93,37 +143,56 @@ def pack_sentences(paragraph: Column) -> Column:
     Sentences are packed greedily. A sentence over the limit goes out at once as
     packed words, ahead of the sentences still waiting.
     """
-    sentences = F.filter(
-        F.transform(F.split(paragraph, SENTENCE_GAP), strip),
-        lambda s: (s != "") & ~is_noise(s),
-    )
 
-    def step(acc: Column, s: Column) -> Column:
-        n = F.length(s)
-        unbreakable = n > MAX_BLOCK_CHARS
+    def step(acc: Column, n: Column) -> tuple[Column, dict[str, Column]]:
+        long = n > MAX_BLOCK_CHARS
         over = acc["len"] + n + 1 > MAX_BLOCK_CHARS
-        out = (
-            F.when(unbreakable, _pack_words(s))
-            .when(over, _one_if(acc["buf"] != "", acc["buf"]))
-            .otherwise(F.expr(_NO_BLOCKS))
-        )
-        return let(
-            out,
-            lambda blocks: F.struct(
-                F.when(unbreakable, acc["buf"])
-                .when(over, s)
-                .otherwise(_joined(acc, "\n", s))
-                .alias("buf"),
-                F.when(unbreakable, acc["len"])
-                .when(over, n)
-                .otherwise(acc["len"] + n + 1)
-                .alias("len"),
-                *_emit(acc, blocks),
-            ),
+        return (
+            F.when(long, LONG).when(over, OPEN).otherwise(KEEP),
+            {
+                "len": F.when(long, acc["len"]).when(over, n).otherwise(acc["len"] + n + 1),
+            },
         )
 
-    start = _start(F.lit("").alias("buf"), F.lit(0).alias("len"))
-    return F.aggregate(sentences, start, step, _finish_with_rest)
+    def blocks(v: Column) -> Column:
+        pieces, marks = v["pieces"], v["marks"]
+        # Positions of the sentences that wait in a buffer, and of those that do not.
+        every = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces)))
+        waiting = F.filter(every, lambda i: _mark(marks, i) != LONG)
+        long = F.filter(every, lambda i: _mark(marks, i) == LONG)
+
+        def in_order(at: Column) -> Column:
+            # A buffer goes out when the next one opens, a long sentence where it stands.
+            buffers = _runs(
+                F.size(at),
+                lambda k: _mark(marks, _at(at, k)) == OPEN,
+                lambda k, past: F.struct(
+                    F.coalesce(_at(at, past), F.size(pieces) + 1).alias("place"),
+                    F.array(
+                        F.array_join(
+                            F.transform(F.slice(at, k, past - k), lambda i: _at(pieces, i)), "\n"
+                        )
+                    ).alias("blocks"),
+                ),
+            )
+            cut = F.transform(
+                long,
+                lambda i: F.struct(
+                    i.alias("place"), _pack_words(_at(pieces, i)).alias("blocks")
+                ),
+            )
+            no_events = F.slice(cut, 1, 0)
+            events = F.array_sort(F.concat(F.coalesce(buffers, no_events), cut))
+            return F.flatten(F.transform(events, lambda e: e["blocks"]))
+
+        return F.coalesce(let(waiting, in_order), F.expr(_NO_BLOCKS))
+
+    return _with_marks(sentences(paragraph), {"len": F.lit(0)}, step, blocks)
+
+
+def _at(items: Column, i: Column) -> Column:
+    """The i-th item, counted from 1; null past the end."""
+    return F.get(items, i - 1)
 
 
 def paragraphs(text: Column) -> Column:
@@ -140,46 +209,32 @@ def split_blocks(text: Column, seed: Column) -> Column:
     Paragraphs are collected until a drawn target (200 to 600 characters) is
     reached. ``seed`` starts the draw of the targets.
     """
-    pieces = F.transform(
-        paragraphs(text),
-        lambda p: F.struct(
-            p.alias("text"),
-            F.length(p).alias("len"),
-            F.when(F.length(p) > MAX_BLOCK_CHARS, pack_sentences(p)).alias("blocks"),
-        ),
-    )
-    first = next_state(seed.cast("long"))
-    start = _start(
-        F.lit("").alias("buf"),
-        F.lit(0).alias("len"),
-        first.alias("rng"),
-    )
-    out = F.aggregate(pieces, start, _add_paragraph, _finish_with_rest)
-    return F.when(F.length(text) >= MIN_TEXT_CHARS, out).otherwise(F.expr(_NO_BLOCKS))
 
+    def step(acc: Column, n: Column) -> tuple[Column, dict[str, Column]]:
+        long = n > MAX_BLOCK_CHARS
+        size = acc["len"] + n + 2
+        over = size > MAX_BLOCK_CHARS
+        reached = size >= target_size(acc["rng"])
+        redraw = F.when(long, acc["len"] > 0).otherwise(over | reached)
+        return (
+            F.when(long, LONG).when(over, OPEN).when(reached, CLOSE).otherwise(KEEP),
+            {
+                "len": F.when(long, 0).when(over, n).when(reached, 0).otherwise(size),
+                "rng": F.when(redraw, next_state(acc["rng"])).otherwise(acc["rng"]),
+            },
+        )
 
-def _add_paragraph(acc: Column, p: Column) -> Column:
-    long = p["blocks"].isNotNull()
-    waiting = acc["buf"] != ""
-    size = acc["len"] + p["len"] + 2
-    over = size > MAX_BLOCK_CHARS
-    reached = size >= target_size(acc["rng"])
-    joined = _joined(acc, "\n\n", p["text"])
-
-    flushed = _one_if(waiting, acc["buf"])
-    out = (
-        F.when(long, F.concat(flushed, p["blocks"]))
-        .when(over, flushed)
-        .when(reached, F.array(joined))
-        .otherwise(F.expr(_NO_BLOCKS))
-    )
-    redraw = F.when(long, waiting).otherwise(over | reached)
-    return let(
-        out,
-        lambda blocks: F.struct(
-            F.when(long, "").when(over, p["text"]).when(reached, "").otherwise(joined).alias("buf"),
-            F.when(long, 0).when(over, p["len"]).when(reached, 0).otherwise(size).alias("len"),
-            F.when(redraw, next_state(acc["rng"])).otherwise(acc["rng"]).alias("rng"),
-            *_emit(acc, blocks),
-        ),
-    )
+    def blocks(v: Column) -> Column:
+        pieces, marks = v["pieces"], v["marks"]
+        made = _runs(
+            F.size(pieces),
+            lambda i: _mark(marks, i).isin(OPEN, LONG) | _mark(marks, i - 1).isin(CLOSE, LONG),
+            lambda i, j: F.when(_mark(marks, i) == LONG, pack_sentences(_at(pieces, i))).otherwise(
+                F.array(_glued(pieces, "\n\n", i, j))
+            ),
+        )
+        return F.coalesce(F.flatten(made), F.expr(_NO_BLOCKS))
+
+    start = {"len": F.lit(0), "rng": next_state(seed.cast("long"))}
+    out = _with_marks(paragraphs(text), start, step, blocks)
+    return F.when(F.length(text) >= MIN_TEXT_CHARS, out).otherwise(F.expr(_NO_BLOCKS))
