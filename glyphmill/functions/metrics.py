@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from glyphmill.functions.text import let, words
 
 # Bands tried before the full table. A band of t costs about (2t + 1) * n cells
-# and is exact whenever the distance is at most t.
-BANDS = (24, 192, 1536)
+# and is exact whenever the distance is at most t. Doubling keeps the total below
+# four times what the narrowest sufficient band costs.
+BANDS = tuple(16 * 2**k for k in range(11))
 
 
 def edit_distance(a: Column, b: Column) -> Column:
@@ -83,6 +84,8 @@ def wer(reference: Column, hypothesis: Column) -> Column:
 
 
 def percent(rate: Column, digits: int = 2, signed: bool = False) -> Column:
-    """A rate as percent text, ties to even as the published tables print them."""
-    sign = "+" if signed else ""
-    return F.format_string(f"%{sign}.{digits}f%%", F.bround(rate * 100, digits))
+    """A rate as percent text, rounded from its exact value with ties to even."""
+    # format_number rounds the exact binary value; format_string would round its printed digits.
+    pattern = F.lit("0." + "0" * digits)
+    text = F.concat(F.call_function("format_number", rate * 100, pattern), F.lit("%"))
+    return F.concat(F.when(rate >= 0, "+").otherwise(""), text) if signed else text

@@ -48,3 +48,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over at least as many tasks as the session has slots, by a hash of its keys.
+
+    For work that costs far more than moving its input, like edit distances: a
+    small file is one task otherwise, and long rows often lie together.
+    """
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
