@@ -7,16 +7,15 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.text import let, words
 
-# Bands tried before the full table. A band of t costs about (2t + 1) * n cells
-# and is exact whenever the distance is at most t. Doubling keeps the total below
-# four times what the narrowest sufficient band costs.
-BANDS = tuple(16 * 2**k for k in range(11))
+# Bands tried before the full table. A band is exact whenever the distance is at
+# most its width, and gives up early when it is not.
+BANDS = (32, 128, 512, 2048)
 
 
 def edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance over code points, exact for every pair of texts.
 
-    The built-in answers -1 when the distance is above its threshold. Widening
+    Equal texts are settled by comparison. For others the built-in answers -1 when the distance is above its threshold. Widening
     bands are tried in turn, and a later one runs only after such a -1. The
     last band is the longer length, which no distance exceeds.
     """
@@ -24,11 +23,12 @@ def edit_distance(a: Column, b: Column) -> Column:
     def widen(pair: Column) -> Column:
         x, y = pair["x"], pair["y"]
         longest = F.greatest(F.length(x), F.length(y))
-        return F.aggregate(
+        found = F.aggregate(
             F.array(*[F.least(F.lit(t), longest) for t in BANDS], longest),
             F.lit(-1),
             lambda d, t: F.when(d >= 0, d).otherwise(_levenshtein(x, y, t)),
         )
+        return F.when(x == y, 0).otherwise(found)
 
     both = F.struct(a.alias("x"), b.alias("y"))
     return F.when(a.isNotNull() & b.isNotNull(), let(both, widen))

@@ -139,22 +139,26 @@ def words(x: str) -> str:
 # Word distance: one table row of the classic dynamic program per step, all texts at once.
 WORD_DISTANCE = f"""
 lists AS MATERIALIZED (
-  SELECT id, 'raw' AS sys, {words('truth')} AS r, {words('raw')} AS h FROM turns
-  UNION ALL SELECT id, 'ft', {words('truth')}, {words('ft')} FROM turns),
-dp(id, sys, i, j, d) AS (
-  SELECT id, sys, 0::BIGINT, unnest(range(len(r) + 1)), unnest(range(len(r) + 1)) FROM lists
+  SELECT row_number() OVER () AS q, * FROM (
+    SELECT id, 'raw' AS sys, {words('truth')} AS r, {words('raw')} AS h FROM turns
+    UNION ALL SELECT id, 'ft', {words('truth')}, {words('ft')} FROM turns)),
+refs AS MATERIALIZED (SELECT q, unnest(r) AS w, generate_subscripts(r, 1) AS j FROM lists),
+hyps AS MATERIALIZED (SELECT q, unnest(h) AS w, generate_subscripts(h, 1) AS i FROM lists),
+dp(q, i, j, d) AS (
+  SELECT q, 0::BIGINT, unnest(range(len(r) + 1)), unnest(range(len(r) + 1)) FROM lists
   UNION ALL
-  SELECT id, sys, i, j, min(t - j) OVER (PARTITION BY id, sys ORDER BY j) + j FROM (
-    SELECT dp.id, dp.sys, dp.i + 1 AS i, dp.j,
+  SELECT q, i, j, min(t - j) OVER (PARTITION BY q ORDER BY j) + j FROM (
+    SELECT dp.q, dp.i + 1 AS i, dp.j,
            CASE WHEN dp.j = 0 THEN dp.i + 1 ELSE least(dp.d + 1,
-             lag(dp.d) OVER (PARTITION BY dp.id, dp.sys ORDER BY dp.j)
-               + CASE WHEN l.r[dp.j] = l.h[dp.i + 1] THEN 0 ELSE 1 END) END AS t
-    FROM dp JOIN lists l ON l.id = dp.id AND l.sys = dp.sys AND dp.i < len(l.h)) s),
+             lag(dp.d) OVER (PARTITION BY dp.q ORDER BY dp.j)
+               + CASE WHEN r.w = h.w THEN 0 ELSE 1 END) END AS t
+    FROM dp JOIN hyps h ON h.q = dp.q AND h.i = dp.i + 1
+    LEFT JOIN refs r ON r.q = dp.q AND r.j = dp.j) s),
 wer AS (
   SELECT l.id, l.sys,
          CASE WHEN len(r) = 0 THEN CASE WHEN len(h) > 0 THEN 1.0 ELSE 0.0 END
               ELSE d::DOUBLE / len(r) END AS v
-  FROM lists l JOIN dp ON dp.id = l.id AND dp.sys = l.sys AND dp.i = len(h) AND dp.j = len(r)),
+  FROM lists l JOIN dp ON dp.q = l.q AND dp.i = len(h) AND dp.j = len(r)),
 scored AS (
   SELECT t.*, {cer('truth', 'raw')} AS raw_cer, {cer('truth', 'ft')} AS ft_cer,
          wr.v AS raw_wer, wf.v AS ft_wer

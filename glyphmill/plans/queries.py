@@ -57,8 +57,9 @@ def edited(c: Column, edits: list[tuple[str, str]]) -> Column:
     return c
 
 
-def _records(df: DataFrame, record_id: Column, language: Column) -> DataFrame:
+def _records(df: DataFrame, record_id: Column, language: Column, *keep: str) -> DataFrame:
     return df.select(
+        *keep,
         record_id.alias("id"),
         language.alias("language"),
         F.col("text").alias("ground_truth"),
@@ -68,12 +69,12 @@ def _records(df: DataFrame, record_id: Column, language: Column) -> DataFrame:
 
 
 def turns_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spread(table(spark, sf_dir, "conversations"), "conv_id", "turn")
+    turns = table(spark, sf_dir, "conversations")
     return _records(turns, F.concat_ws("-", "conv_id", "turn"), F.col("role"))
 
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = table(spark, sf_dir, "documents")
     return _records(docs, F.col("doc_id").cast("string"), F.col("lang"))
 
 
@@ -106,12 +107,8 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordered = table(spark, sf_dir, "conversations")
-    ordered = positions(ordered, ["conv_id", "turn"])
-    records = _records(ordered, F.concat_ws("-", "conv_id", "turn"), F.col("role"))
-    records = records.join(
-        ordered.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "pos"), "id"
-    )
+    turns = positions(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
+    records = _records(turns, F.concat_ws("-", "conv_id", "turn"), F.col("role"), "pos")
     return E.report(E.with_record_defaults(records))
 
 
@@ -122,7 +119,7 @@ def eval_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def eval_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character error rates over the blocks of the corpus, the unit that is read and scored."""
-    blocks = spread(chunk_blocks(spark, sf_dir).withColumnRenamed("block_text", "text"), "chunk_no")
+    blocks = chunk_blocks(spark, sf_dir).withColumnRenamed("block_text", "text")
     records = _records(blocks, F.col("chunk_no"), F.col("language"))
     scored = E.scores(E.with_record_defaults(records))
     shown = scored.select(F.col("id").cast("bigint").alias("chunk_no"), "language", "raw_cer", "ft_cer")
@@ -212,7 +209,7 @@ def decorated(c: Column) -> Column:
 
 
 def clean_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", T.clean_markdown(decorated(F.col("text"))).alias("cleaned")
     )
 
@@ -232,7 +229,7 @@ def _spaced(c: Column) -> Column:
 
 
 def collapse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         T.collapse(_spaced(F.col("text"))).alias("collapsed"),
         T.language_of_key(F.col("source")).alias("language"),
@@ -240,20 +237,20 @@ def collapse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations")).select(
         "conv_id", "turn", T.reflow(_spaced(F.col("text"))).alias("reflowed")
     )
 
 
 def upper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     without_sharp_s = F.replace(F.col("text"), F.lit("ß"), F.lit("ss"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", T.upper_if(F.col("n_chars") % 2 == 0, without_sharp_s).alias("text")
     )
 
 
 def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     stats = docs.select("doc_id", T.line_stats(F.col("text")).alias("s")).select("doc_id", "s.*")
     return _rounded(stats, "mean_line_len", "text_aspect")
 
@@ -274,7 +271,7 @@ def sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def noise_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs kept, of texts with noise and index lines set between theirs."""
     noisy = F.replace(F.col("text"), F.lit("\n"), F.lit("\n. . _ --\n\nPage 12 ................\n"))
-    docs = table(spark, sf_dir, "documents").filter(F.length("text") >= 200)
+    docs = spread(table(spark, sf_dir, "documents")).filter(F.length("text") >= 200)
     return docs.select("doc_id", F.posexplode(paragraphs(noisy)).alias("place", "paragraph"))
 
 
@@ -369,7 +366,7 @@ def chunk_blocks_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text as one paragraph."""
     joined = T.strip(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
-    docs = table(spark, sf_dir, "documents").select("doc_id", joined.alias("p"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
     long = docs.filter(F.length("p") > 600)
     return long.select("doc_id", F.posexplode_outer(pack_sentences(F.col("p"))).alias("place", "block"))
 
@@ -377,7 +374,7 @@ def sentence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with most sentence ends taken out, so that words must be packed."""
     joined = T.strip(F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit("e. "), F.lit("e ")))
-    docs = table(spark, sf_dir, "documents").select("doc_id", joined.alias("p"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
     long = docs.filter(F.length("p") > 600)
     return long.select("doc_id", F.posexplode_outer(pack_sentences(F.col("p"))).alias("place", "block"))
 
@@ -386,7 +383,7 @@ def word_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         (F.col("doc_id") + 1).alias("chunk_no"), F.col("n_chars").cast("int").alias("chars")
     )
 
@@ -507,7 +504,7 @@ def asset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     name = F.concat_ws("_", F.concat("lang", F.lit("x")), "source", F.col("doc_id").cast("string"))
     image = R.image_struct(F.encode("source", "UTF-8"), F.concat(name, F.lit(".png")))
     flat = R.flat_sample(docs.select(name.alias("basename"), "text", image.alias("image")))
@@ -516,7 +513,7 @@ def flat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chat layout, one row for every part of every turn."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     image = R.image_struct(F.encode("source", "UTF-8"), F.concat("source", F.lit(".png")))
     chats = R.chat_sample(docs.select("doc_id", "text", image.alias("image")), "doc_id")
     turns = chats.select(
@@ -540,7 +537,7 @@ def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     # Quotes and backslashes aside, JSON text is the same from every writer.
     plain = F.translate("text", '"\\', "''")
     rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("basename"), plain.alias("text"))

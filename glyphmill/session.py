@@ -50,12 +50,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` over at least as many tasks as the session has slots, by a hash of its keys.
+def spread(df: DataFrame) -> DataFrame:
+    """A small ``df`` over all task slots of the session; a large one as it is.
 
     For work that costs far more than moving its input, like edit distances: a
-    small file is one task otherwise, and long rows often lie together.
+    small file is often a single task. Small means less than one full file split
+    per slot by the optimizer's estimate, so the rows moved never grow with the
+    data.
     """
     spark = df.sparkSession
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+    slots = spark.sparkContext.defaultParallelism
+    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) >= slots * split_bytes:
+        return df
+    return df.repartition(slots)
+
+
+def _bytes(size: str) -> int:
+    units = {"k": 1, "m": 2, "g": 3, "t": 4}
+    size = size.strip().lower().removesuffix("b")
+    return int(size[:-1]) * 1024 ** units[size[-1]] if size[-1] in units else int(size)
