@@ -54,15 +54,16 @@ def spread(df: DataFrame) -> DataFrame:
     """A small ``df`` over all task slots of the session; a large one as it is.
 
     For work that costs far more than moving its input, like edit distances: a
-    small file is often a single task. Small means less than one full file split
-    per slot by the optimizer's estimate, so the rows moved never grow with the
+    small file is often a single task. Small means that all tables read come to
+    less than one full file split per slot, so what is moved never grows with the
     data.
     """
     spark = df.sparkSession
     slots = spark.sparkContext.defaultParallelism
     split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) >= slots * split_bytes:
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
+    if sum(int(str(size)) for size in sizes) >= slots * split_bytes:
         return df
     return df.repartition(slots)
 
