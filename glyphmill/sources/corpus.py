@@ -2,33 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from glyphmill.operators.corpus import with_defaults
 from glyphmill.operators.numbering import ROW, number_runs
 from glyphmill.session import materialize
 
-# No field holds this, so an empty field stays empty and only a missing one is null.
-_NEVER = "\u0000"
+_SHORT = "_short_row"
+FILE = "_file"
 
 
 def read_corpus_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """All columns of the CSV as strings, in UTF-8 with bad bytes replaced.
 
+    An empty field is empty text; a field that its row does not have is null.
     Quoted fields may hold line ends, so a file is read by one task. Give many
     files for a large corpus.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .option("nullValue", _NEVER)
-        .option("emptyValue", "")
         .option("mode", "PERMISSIVE")
-        .csv(path)
+        # Every field is parsed, so that short rows are told from empty fields.
+        .option("columnPruning", False)
+    )
+    header = reader.csv(path).schema
+    flagged = StructType(header.fields).add(_SHORT, StringType())
+    rows = reader.option("columnNameOfCorruptRecord", _SHORT).schema(flagged).csv(path)
+
+    def or_empty(name: str) -> Column:
+        return F.when(F.col(name).isNull() & F.col(_SHORT).isNull(), "").otherwise(F.col(name))
+
+    names = [f.name for f in header.fields]
+    return rows.withColumns({n: or_empty(n) for n in names}).select(
+        *names, F.col("_metadata.file_path").alias(FILE)
     )
 
 
@@ -42,11 +54,11 @@ def read_corpus(spark: SparkSession, path: str | list[str]) -> DataFrame:
     kept = [c for c in ("id", "language", "text") if c in raw.columns]
     rows = raw.select(
         *kept,
-        F.col("_metadata.file_path").alias("_file"),
+        FILE,
         F.monotonically_increasing_id().alias(ROW),
     )
     stored = materialize(rows, "corpus")
-    numbered = number_runs(stored, ["_file"], "_file", "row_ordinal", start=1)
+    numbered = number_runs(stored, [FILE], FILE, "row_ordinal", start=1)
     return with_defaults(numbered).select("row_ordinal", "id", "language", "text")
 
 

@@ -11,6 +11,11 @@ def _basename(file_name: Column) -> Column:
     return F.substring(file_name, F.lit(1), F.length(file_name) - 4)
 
 
+def _metadata_name() -> Column:
+    """The file name as it is on disk; the metadata column has it as part of a URL."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _last_part(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
@@ -28,16 +33,13 @@ def read_images(spark: SparkSession, folder: str, content: bool = False) -> Data
 
 
 def read_texts(spark: SparkSession, folder: str, value: bool = True) -> DataFrame:
-    """``basename, text_path, text``: one row per text file, its text whole."""
+    """``basename, text``: one row per text file, its text whole; or the names alone."""
     if not value:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder)
-        return files.select(
-            _basename(_last_part(F.col("path"))).alias("basename"), F.col("path").alias("text_path")
-        )
+        return files.select(_basename(_last_part(F.col("path"))).alias("basename"))
     files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     return files.select(
-        _basename(F.col("_metadata.file_name")).alias("basename"),
-        F.col("_metadata.file_path").alias("text_path"),
+        _basename(_metadata_name()).alias("basename"),
         F.col("value").alias("text"),
     )
 
