@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.functions.blocks import split_blocks
 from glyphmill.operators.corpus import cleaned, is_effective, limit_cut, with_defaults
-from glyphmill.operators.numbering import ROW, RUN, SPLIT, number_runs, stored_in_order
+from glyphmill.operators.numbering import ROW, RUN, SPLIT, in_ordinal_order, number_runs, stored_in_order
 from glyphmill.session import materialize
 
 
@@ -35,8 +35,8 @@ def plan_chunks(
     """Block table ``row_ordinal, id, language, block_idx, chunk_no, block_text``.
 
     Rows come with a 1-based ``row_ordinal``, or get one from the unique key
-    ``order_by``. Either way the texts are shuffled once, by range. Blocks are
-    written once to the scratch folder, numbered there, and then read from it.
+    ``order_by``. Either way the texts are shuffled once. Blocks are written once
+    to the scratch folder, numbered there, and then read from it.
 
     Rows up to ``resume_from`` are left out, and ``limit`` stops after that many
     effective rows past them. Chunk numbers are those of an unbroken run;
@@ -62,12 +62,7 @@ def plan_chunks(
         # Already stored in order; this only restores it inside each task.
         rows = rows.sortWithinPartitions("row_ordinal")
     else:
-        rows = (
-            rows.repartitionByRange("row_ordinal")
-            .sortWithinPartitions("row_ordinal")
-            .withColumn(RUN, F.spark_partition_id())
-            .withColumn(SPLIT, F.lit(0))
-        )
+        rows = in_ordinal_order(rows, "row_ordinal")
     blocks = (
         row_blocks(rows, seed)
         .select(

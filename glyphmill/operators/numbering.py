@@ -60,6 +60,26 @@ def stored_in_order(df: DataFrame, order_by: list[str], out: str, start: int) ->
     return number_runs(stored, [RUN], RUN, out, start).drop(ROW)
 
 
+def in_ordinal_order(df: DataFrame, ordinal: str) -> DataFrame:
+    """``df`` in tasks that each hold one stretch of ordinals, sorted, with ``_run`` and ``_split``.
+
+    Ordinals are dense, so equal stretches hold equal numbers of rows and need
+    only the least and the largest of them. A range sort would instead read all
+    rows once more to sample them.
+    """
+    low, high = df.agg(F.min(ordinal), F.max(ordinal)).first()
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    low, high = low or 0, high or 0
+    stretch = F.floor((F.col(ordinal) - low) * tasks / (high - low + 1))
+    task = F.least(stretch, F.lit(tasks - 1)).cast("int")
+    return (
+        df.withColumn(RUN, task)
+        .repartitionById(tasks, F.col(RUN))
+        .sortWithinPartitions(ordinal)
+        .withColumn(SPLIT, F.lit(0))
+    )
+
+
 def positions(df: DataFrame, order_by: list[str], out: str = "pos", start: int = 0) -> DataFrame:
     """``df`` with its dense position in the order of the unique key ``order_by``."""
     return stored_in_order(df, order_by, out, start).drop(RUN, SPLIT)

@@ -50,6 +50,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored in the scratch folder, once its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A small ``df`` over all task slots of the session; a large one as it is.
 

@@ -14,9 +14,8 @@ N = 20_000
 @pytest.fixture(scope="module")
 def drawn(spark):
     rows = spark.range(1, N + 1).withColumnRenamed("id", "chunk_no")
-    return M.with_draws(rows, 42).withColumn(
-        "size", D.size_plan(42, F.col("chunk_no"), F.lit(400))
-    ).cache()
+    size = D.size_plan(42, F.col("chunk_no"), F.lit(400))
+    return M.with_draws(rows, 42).withColumn("size", size).cache()
 
 
 def u(name, i, which=0, seed=42):
