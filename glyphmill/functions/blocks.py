@@ -131,14 +131,14 @@ def _with_marks(pieces, start, step, body) -> Column:
 
 
 def sentences(paragraph: Column) -> Column:
+    """Sentences of a stripped paragraph; cutting out the gaps leaves them stripped too."""
     return F.filter(
-        F.transform(F.split(paragraph, SENTENCE_GAP), strip),
-        lambda s: (s != "") & ~is_noise(s),
+        F.split(paragraph, SENTENCE_GAP), lambda s: (s != "") & ~is_noise(s)
     )
 
 
 def pack_sentences(paragraph: Column) -> Column:
-    """Blocks of a paragraph over the limit.
+    """Blocks of a stripped paragraph over the limit.
 
     Sentences are packed greedily. A sentence over the limit goes out at once as
     packed words, ahead of the sentences still waiting.
@@ -236,5 +236,10 @@ def split_blocks(text: Column, seed: Column) -> Column:
         return F.coalesce(F.flatten(made), F.expr(_NO_BLOCKS))
 
     start = {"len": F.lit(0), "rng": next_state(seed.cast("long"))}
-    out = _with_marks(paragraphs(text), start, step, blocks)
-    return F.when(F.length(text) >= MIN_TEXT_CHARS, out).otherwise(F.expr(_NO_BLOCKS))
+
+    def long_enough(t: Column) -> Column:
+        out = _with_marks(paragraphs(t), start, step, blocks)
+        return F.when(F.length(t) >= MIN_TEXT_CHARS, out).otherwise(F.expr(_NO_BLOCKS))
+
+    # The text may be a long expression, such as its cleaning: evaluated once.
+    return let(text, long_enough)

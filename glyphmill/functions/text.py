@@ -35,7 +35,8 @@ def strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return F.length(strip(c)) == 0
+    # Trimming the left side alone stops at the first character that counts.
+    return F.ltrim(c, F.lit(WS_CHARS)) == ""
 
 
 def words(c: Column) -> Column:
@@ -128,13 +129,14 @@ def line_stats(c: Column) -> Column:
 
 def is_noise(c: Column) -> Column:
     """Nothing but whitespace, dots, underscores and dashes (and at least one of them)."""
-    return (F.length(c) > 0) & (F.trim(c, F.lit(WS_CHARS + "._-")) == "")
+    return (c != "") & (F.ltrim(c, F.lit(WS_CHARS + "._-")) == "")
 
 
 def is_index_like(c: Column) -> Column:
     """Longer than 10 characters and more than half dots and underscores."""
     n = F.length(c)
-    dots = n - F.length(F.translate(c, "._", ""))
+    bare = F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit("_"), F.lit(""))
+    dots = n - F.length(bare)
     return (n > 10) & (dots * 2 > n)
 
 
