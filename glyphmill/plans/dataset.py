@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.config import PrepConfig
-from glyphmill.operators.pairs import orphan_counts, pair
+from glyphmill.functions.png import png_size
+from glyphmill.operators.pairs import orphan_counts, pair, split_usable
 from glyphmill.operators.reshape import chat_sample, flat_sample, image_struct, instruction_sample
+from glyphmill.operators.runlog import observed
 from glyphmill.operators.splits import asset_manifest, id_manifest, resume_shards, split_and_shard
 from glyphmill.session import materialize
 from glyphmill.sources import sinks
 from glyphmill.sources.files import read_images, read_texts
 
+_PLACE = ("split", "shard_idx", "split_pos")
+
 
 def placed_pairs(
     spark: SparkSession, images_dir: str, texts_dir: str, shard_size: int, config: PrepConfig
@@ -31,15 +38,35 @@ def orphan_report(spark: SparkSession, images_dir: str, texts_dir: str) -> DataF
 
 
 def _with_text(spark: SparkSession, placed: DataFrame, texts_dir: str) -> DataFrame:
-    return placed.join(read_texts(spark, texts_dir).select("basename", "text"), "basename")
+    """Texts joined on; one that is not UTF-8 is null."""
+    texts = read_texts(spark, texts_dir).select("basename", F.try_validate_utf8("text").alias("text"))
+    return placed.join(texts, "basename")
 
 
 def _with_image(spark: SparkSession, placed: DataFrame, images_dir: str) -> DataFrame:
-    """Image bytes joined on last: they are shuffled once to their row, once to their shard."""
-    content = read_images(spark, images_dir, content=True).select("basename", "content")
-    joined = placed.join(content, "basename")
+    """Image bytes joined on last: they are shuffled once to their row, once to their shard.
+
+    An image without a PNG header is null.
+    """
+    files = read_images(spark, images_dir, content=True)
     name = F.concat("basename", F.lit(".png"))
-    return joined.withColumn("image", image_struct(F.col("content"), name)).drop("content")
+    image = F.when(png_size(F.col("content")).isNotNull(), image_struct(F.col("content"), name))
+    return placed.join(files.select("basename", image.alias("image")), "basename")
+
+
+def _usable(df: DataFrame, required: list[str], output: str, write: Callable[[DataFrame], None]) -> None:
+    """``write`` the rows that have every required value; list the others at ``output/failed``.
+
+    The failures are counted while writing, and read again only if there are any.
+    """
+    broken = reduce(Column.__or__, [F.col(c).isNull() for c in required])
+    counted, seen = observed(df, "samples", failed=F.count_if(broken))
+    usable, _ = split_usable(counted, required, "reshape", "basename")
+    write(usable)
+    failed = split_usable(df, required, "reshape", "basename")[1]
+    if not seen.get["failed"]:
+        failed = failed.limit(0)
+    failed.write.mode("overwrite").parquet(f"{output}/failed")
 
 
 def build_flat(
@@ -48,7 +75,12 @@ def build_flat(
     """The flat train/test dataset at ``output/data`` and the id manifest at ``output/ids``."""
     placed = placed_pairs(spark, images_dir, texts_dir, config.chat_shard_size, config)
     full = _with_image(spark, _with_text(spark, placed, texts_dir), images_dir)
-    sinks.write_flat(flat_sample(full, "split", "split_pos"), f"{output}/data")
+    _usable(
+        full,
+        ["text", "image"],
+        output,
+        lambda df: sinks.write_flat(flat_sample(df, "split", "split_pos"), f"{output}/data"),
+    )
     ids = id_manifest(placed, "basename")
     ids.write.mode("overwrite").parquet(f"{output}/ids")
 
@@ -56,14 +88,16 @@ def build_flat(
 def build_chat(
     spark: SparkSession, images_dir: str, texts_dir: str, output: str, config: PrepConfig = PrepConfig()
 ) -> None:
-    """Chat-message shards, from the configured shard of each split on."""
+    """Chat-message shards at ``output/data``, from the configured shard of each split on."""
     placed = placed_pairs(spark, images_dir, texts_dir, config.chat_shard_size, config)
     placed = resume_shards(placed, config.resume_train_shard, config.resume_test_shard)
     full = _with_image(spark, _with_text(spark, placed, texts_dir), images_dir)
-    samples = chat_sample(
-        full, "split", "shard_idx", "split_pos", instruction=config.instruction
-    )
-    sinks.write_shards(samples, output)
+
+    def write(df: DataFrame) -> None:
+        samples = chat_sample(df, *_PLACE, instruction=config.instruction)
+        sinks.write_shards(samples, f"{output}/data")
+
+    _usable(full, ["text", "image"], output, write)
 
 
 def build_instruction(
@@ -72,13 +106,15 @@ def build_instruction(
     """Instruction JSON lines at ``output/lines`` and the archive lists at ``output/assets``."""
     placed = placed_pairs(spark, images_dir, texts_dir, config.instruction_shard_size, config)
     placed = resume_shards(placed, config.resume_train_shard, config.resume_test_shard)
-    lines = instruction_sample(
-        _with_text(spark, placed, texts_dir),
-        "split",
-        "shard_idx",
-        "split_pos",
-        instruction=config.instruction,
-        assets_prefix=config.assets_prefix,
-    )
-    sinks.write_instruction_lines(lines, f"{output}/lines")
-    asset_manifest(placed, "basename").write.mode("overwrite").parquet(f"{output}/assets")
+
+    def write(df: DataFrame) -> None:
+        lines = instruction_sample(
+            df, *_PLACE, instruction=config.instruction, assets_prefix=config.assets_prefix
+        )
+        sinks.write_instruction_lines(lines, f"{output}/lines")
+
+    _usable(_with_text(spark, placed, texts_dir), ["text"], output, write)
+    # A sample whose text failed is in no archive either.
+    failed = spark.read.parquet(f"{output}/failed").select(F.col("key").alias("basename"))
+    kept = placed.join(failed, "basename", "left_anti")
+    asset_manifest(kept, "basename").write.mode("overwrite").parquet(f"{output}/assets")

@@ -87,11 +87,11 @@ def shard_files(path, suffix):
 
 def test_chat_shards(spark, folders, tmp_path):
     build_chat(spark, *folders, str(tmp_path), SMALL)
-    assert shard_files(tmp_path, "parquet") == [
+    assert shard_files(tmp_path / "data", "parquet") == [
         "split=test/shard_idx=0",
         *[f"split=train/shard_idx={i}" for i in range(5)],
     ]
-    rows = spark.read.parquet(str(tmp_path)).collect()
+    rows = spark.read.parquet(f"{tmp_path}/data").collect()
     assert len(rows) == 20
     want = expected(folders)
     for r in rows:
@@ -106,20 +106,38 @@ def test_chat_shards(spark, folders, tmp_path):
 
 def test_resume_rewrites_only_later_shards(spark, folders, tmp_path):
     build_chat(spark, *folders, str(tmp_path), SMALL)
-    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
-    full = {(r.split, r.shard_idx, r.images[0].path) for r in spark.read.parquet(str(tmp_path)).collect()}
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "data").rglob("*.parquet")}
+    full = {(r.split, r.shard_idx, r.images[0].path) for r in spark.read.parquet(f"{tmp_path}/data").collect()}
     build_chat(
         spark, *folders, str(tmp_path), PrepConfig(chat_shard_size=4, resume_train_shard=3, resume_test_shard=1)
     )
-    after = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "data").rglob("*.parquet")}
     kept = {p for p in before if before[p] == after.get(p)}
     assert {p.parent.parent.name + "/" + p.parent.name for p in kept} == {
         "split=test/shard_idx=0", "split=train/shard_idx=0", "split=train/shard_idx=1", "split=train/shard_idx=2",
     }
-    again = {(r.split, r.shard_idx, r.images[0].path) for r in spark.read.parquet(str(tmp_path)).collect()}
+    again = {(r.split, r.shard_idx, r.images[0].path) for r in spark.read.parquet(f"{tmp_path}/data").collect()}
     assert again == full
 
 
+def test_unreadable_samples_are_skipped_and_listed(spark, tmp_path):
+    images, texts = tmp_path / "images", tmp_path / "text"
+    images.mkdir()
+    texts.mkdir()
+    for i in range(10):
+        (images / f"zpo_{i}.png").write_bytes(png(300, 300, 20 * 1024) if i != 3 else b"x" * 20 * 1024)
+        (texts / f"zpo_{i}.txt").write_bytes(b"fine" if i != 5 else b"\xff\xfe")
+    build_chat(spark, str(images), str(texts), str(tmp_path / "chat"), SMALL)
+    build_instruction(spark, str(images), str(texts), str(tmp_path / "lines"), SMALL)
+    assert spark.read.parquet(f"{tmp_path}/chat/data").count() == 8
+    failed = {(r.key, r.error) for r in spark.read.parquet(f"{tmp_path}/chat/failed").collect()}
+    assert failed == {("zpo_3", "missing image"), ("zpo_5", "missing text")}
+    assert spark.read.json(f"{tmp_path}/lines/lines").count() == 9
+    assert spark.read.parquet(f"{tmp_path}/lines/failed").first().key == "zpo_5"
+    members = {f.arcname for a in spark.read.parquet(f"{tmp_path}/lines/assets").collect() for f in a.files}
+    assert members == {f"zpo_{i}.png" for i in range(10) if i != 5}
+
+
 def test_instruction_lines_and_assets(spark, folders, tmp_path):
     build_instruction(spark, *folders, str(tmp_path), SMALL)
     assert shard_files(tmp_path / "lines", "json") == [
