@@ -11,27 +11,62 @@ from glyphmill.functions.text import let, words
 # most its width, and gives up early when it is not.
 BANDS = (32, 128, 512, 2048)
 
+# Words are coded as the code points above the basic plane: 2**20 of them.
+FIRST_CODE = 0x10000
+MAX_WORDS = 0x100000
+
 
 def edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance over code points, exact for every pair of texts.
 
-    Equal texts are settled by comparison. For others the built-in answers -1 when the distance is above its threshold. Widening
-    bands are tried in turn, and a later one runs only after such a -1. The
-    last band is the longer length, which no distance exceeds.
+    Equal texts are settled by comparison. Others lose their common start and
+    end, which costs no edit, and the rest is searched in widening bands.
     """
 
-    def widen(pair: Column) -> Column:
-        x, y = pair["x"], pair["y"]
-        longest = F.greatest(F.length(x), F.length(y))
-        found = F.aggregate(
-            F.array(*[F.least(F.lit(t), longest) for t in BANDS], longest),
-            F.lit(-1),
-            lambda d, t: F.when(d >= 0, d).otherwise(_levenshtein(x, y, t)),
-        )
-        return F.when(x == y, 0).otherwise(found)
+    def differing(pair: Column) -> Column:
+        # Cut and turned around twice, the texts lose both ends and read forwards again.
+        return let(_cut_start_and_turn(pair), lambda p: let(_cut_start_and_turn(p), _in_bands))
+
+    return F.when(a == b, 0).when(a != b, let(_pair(a, b), differing))
+
+
+def _in_bands(pair: Column) -> Column:
+    """The distance of a pair of texts, by the built-in with growing thresholds.
+
+    It answers -1 when the distance is above its threshold, and only then is the
+    next one tried. The last is the longer length, which no distance exceeds.
+    """
+    x, y = pair["x"], pair["y"]
+    longest = F.greatest(F.length(x), F.length(y))
+    return F.aggregate(
+        F.array(*[F.least(F.lit(t), longest) for t in BANDS], longest),
+        F.lit(-1),
+        lambda d, t: F.when(d >= 0, d).otherwise(_levenshtein(x, y, t)),
+    )
+
 
-    both = F.struct(a.alias("x"), b.alias("y"))
-    return F.when(a.isNotNull() & b.isNotNull(), let(both, widen))
+def _pair(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def _cut_start_and_turn(pair: Column) -> Column:
+    """Both texts without their common start, reversed."""
+    x, y = pair["x"], pair["y"]
+    shorter = F.least(F.length(x), F.length(y))
+    top = F.floor(F.log2(F.greatest(shorter, F.lit(1)))).cast("int")
+
+    def longer(known: Column, step: Column) -> Column:
+        width = F.call_function("shiftleft", F.lit(1), top - step)
+        same = F.substring(x, known + 1, width) == F.substring(y, known + 1, width)
+        return F.when((known + width <= shorter) & same, known + width).otherwise(known)
+
+    # Halving widths: the start is known to agree up to ``known``, and is tried a step further.
+    shared = F.aggregate(F.sequence(F.lit(0), top), F.lit(0), longer)
+
+    def rest(text: Column, start: Column) -> Column:
+        return F.reverse(F.substring(text, start + 1, F.length(text)))
+
+    return let(shared, lambda start: _pair(rest(x, start), rest(y, start)))
 
 
 def _levenshtein(x: Column, y: Column, threshold: Column) -> Column:
@@ -48,16 +83,24 @@ def word_edit_distance(a: Column, b: Column) -> Column:
     def coded(lists: Column) -> Column:
         def code(vocabulary: Column, ws: Column) -> Column:
             hexes = F.transform(
-                ws, lambda w: F.lpad(F.hex(F.array_position(vocabulary, w) + 0xFFFF), 8, "0")
+                ws,
+                lambda w: F.lpad(
+                    F.hex(F.array_position(vocabulary, w) + (FIRST_CODE - 1)), 8, "0"
+                ),
             )
             return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
 
-        return let(
-            F.array_distinct(F.concat(lists["x"], lists["y"])),
-            lambda voc: edit_distance(code(voc, lists["x"]), code(voc, lists["y"])),
-        )
+        def over(vocabulary: Column) -> Column:
+            coded_pair = _pair(code(vocabulary, lists["x"]), code(vocabulary, lists["y"]))
+            too_many = F.raise_error(F.lit("more distinct words in one pair than code points"))
+            return F.when(F.size(vocabulary) > MAX_WORDS, too_many.cast("int")).otherwise(
+                let(coded_pair, _in_bands)
+            )
+
+        distinct = F.array_distinct(F.concat(lists["x"], lists["y"]))
+        return F.when(lists["x"] == lists["y"], 0).otherwise(let(distinct, over))
 
-    return let(F.struct(a.alias("x"), b.alias("y")), coded)
+    return let(_pair(a, b), coded)
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:
@@ -80,7 +123,7 @@ def wer(reference: Column, hypothesis: Column) -> Column:
             word_edit_distance(lists["x"], lists["y"]) / n
         )
 
-    return let(F.struct(words(reference).alias("x"), words(hypothesis).alias("y")), rate)
+    return let(_pair(words(reference), words(hypothesis)), rate)
 
 
 def percent(rate: Column, digits: int = 2, signed: bool = False) -> Column:

@@ -76,6 +76,12 @@ def test_wer_matches_word_lists(pairs):
     assert by_row(pairs(data), M.wer) == pytest.approx(expected)
 
 
+def test_many_distinct_words(pairs):
+    many = [f"w{i}" for i in range(3_000)]
+    data = [(" ".join(many), " ".join(many[:500] + many[501:])), (" ".join(many), "")]
+    assert by_row(pairs(data), M.wer) == pytest.approx([1 / 3_000, 1.0])
+
+
 def test_distance_bounds(pairs):
     data = list(random_pairs(60, 80, "abc", 3))
     for (a, b), d in zip(data, by_row(pairs(data), M.edit_distance)):
