@@ -28,10 +28,10 @@ def build_manifest(
     """
     rows = read_corpus(spark, corpus) if isinstance(corpus, str) else corpus
     blocks = plan_chunks(rows, seed, resume_from, limit, order_by)
-    blocks, seen = observed(
+    counted, seen = observed(
         blocks, "blocks", chunks=F.count(F.lit(1)), last_row=F.max("row_ordinal")
     )
-    manifest, kept = observed(render_manifest(blocks, seed), "manifest", accepted=F.count(F.lit(1)))
+    manifest, kept = observed(render_manifest(counted, seed), "manifest", accepted=F.count(F.lit(1)))
     manifest.write.mode("overwrite").parquet(f"{output}/manifest")
     counters = {**seen.get, **kept.get}
 

@@ -101,6 +101,15 @@ def test_manifest_again_is_the_same(spark, tmp_path):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_rejected_blocks_are_listed(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "id,text\nlong," + "w" * 20_000 + "\nfine," + "word " * 60 + "\n")
+    counters = build_manifest(spark, path, str(tmp_path / "out"))
+    # The word over the limit comes after an empty block, which takes a number as well.
+    assert (counters["chunks"], counters["accepted"]) == (3, 1)
+    rejected = spark.read.parquet(f"{tmp_path}/out/rejected").collect()
+    assert [tuple(r) for r in rejected] == [("2", "size", "no valid size in 11 attempts")]
+
+
 def test_blocks_without_valid_size_are_rejected(spark):
     rows = [(1, 1, 1, "zpo", "a", "word " * 2000), (1, 2, 2, "zpo", "a", "  "), (1, 3, 3, "zpo", "a", "ok")]
     blocks = spark.createDataFrame(
