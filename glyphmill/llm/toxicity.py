@@ -93,7 +93,7 @@ class SubwordModel:
 
 
 def _features(texts: list[str | None]) -> tuple[np.ndarray, ...]:
-    """Segments of all texts as a flat list of (segment, bucket, weight), and each segment's text."""
+    """Segments of all texts as a list of (segment, bucket, weight) by segment, and each segment's text."""
     segment, bucket, weight, owner, n = [], [], [], [], 0
     step = SEGMENT // 2 + 1
     for t, text in enumerate(texts):
@@ -109,19 +109,21 @@ def _features(texts: list[str | None]) -> tuple[np.ndarray, ...]:
         share = (1 / (SEGMENT * np.maximum(np.bincount(word, minlength=words), 1)))[word]
         count = len(np.arange(0, max(1, words - SEGMENT + step), step))
         last = np.minimum(word // step, count - 1)  # a word lies in this segment and maybe the one before
+        own = []
         for back in (0, 1):
             s = last - back
             inside = (s >= 0) & (word < s * step + SEGMENT) & (word >= s * step)
-            segment.append(s[inside] + n)
-            bucket.append(grams[inside])
-            weight.append(share[inside])
-        owner.append(np.full(count, t))
+            own.append((s[inside] + n, grams[inside], share[inside]))
+        at, grams, share = (np.concatenate(x) for x in zip(*own))
+        order = np.argsort(at, kind="stable")
+        segment.append(at[order].astype(np.int32))
+        bucket.append(grams[order].astype(np.int32))
+        weight.append(share[order].astype(np.float32))
+        owner.append(np.full(count, t, np.int32))
         n += count
     if not n:
-        return tuple(np.empty(0, int) for _ in range(4))
-    segment, bucket, weight = map(np.concatenate, (segment, bucket, weight))
-    order = np.argsort(segment, kind="stable")
-    return segment[order], bucket[order], weight[order].astype(np.float32), np.concatenate(owner)
+        return tuple(np.empty(0, np.int32) for _ in range(4))
+    return tuple(np.concatenate(x) for x in (segment, bucket, weight, owner))
 
 
 def _threshold(odds: np.ndarray, y: np.ndarray) -> float:
@@ -155,8 +157,9 @@ def train(
     short = np.bincount(owner, minlength=len(y))
 
     def odds() -> np.ndarray:
-        value = embedding @ (softmax[:, 1] - softmax[:, 0])
-        return np.bincount(segment, value[bucket] * weight, len(owner)) + bias[1] - bias[0]
+        worth = (embedding @ (softmax[:, 1] - softmax[:, 0]))[bucket]
+        worth *= weight
+        return np.add.reduceat(worth, bounds[:-1]) + (bias[1] - bias[0])  # no segment is empty
 
     done = turn = 0
     while done < steps or turn < 4:
@@ -204,7 +207,7 @@ def train(
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", per_class: int = 1500,
+    label_col: str = "toxic", per_class: int = 450,
 ) -> SubwordModel | None:
     """A model from the labelled ``docs``; None unless both classes occur.
 
