@@ -23,14 +23,15 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while before != (before := _checksum(edges)):
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Stored, so that Spark can split the join at an id of very many links.
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # Large star: larger neighbours go to the least of all neighbours and the id itself.
         large = materialize(
             both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u > v").distinct(), "large-star",
         )
         # Small star: smaller neighbours, and the id, go to the least of them.
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        smallest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialize(
             small.union(smallest.select("u", F.col("m").alias("v"))).filter("u > v").distinct(), "small-star"

@@ -11,9 +11,9 @@ Two sets link when their Jaccard similarity is at least ``percent / 100``.
    than spares is dealt anew under the next seed as well. Sets near the upper end of a band
    send the parts of the next band too. The documents with an equal part are a tile.
 3. **Bitmaps.** A 512-bit parity bitmap of each set: two bitmaps differ in at most as many bits
-   as the sets do in shingles, which bounds the overlap from above. Only pairs within the bound
-   are compared by intersecting their sorted arrays.
-4. Each document is compared with the first of its tiles, and the links make components. Then
+   as the sets do in shingles, which bounds the overlap from above. Pairs within the bound are
+   held to that of a wider bitmap, and what is left is compared by intersecting the sorted arrays.
+4. Each document is compared with the centre of its tiles, and the links make components. Then
    the pairs of a tile that lie in different components are compared; pairs inside one component
    can add nothing. Large tiles are cut into blocks of ``BLOCK`` documents, which meet pairwise
    in tasks of their own.
@@ -37,7 +37,10 @@ from glyphmill.llm.components import components
 from glyphmill.session import materialize
 
 BITMAP_WORDS = 8
+WIDE_WORDS = 64  # of the bitmaps that pairs must pass before their sets are sent
 BLOCK = 1024
+#: Ids of documents to be read into sets are broadcast up to so many: 8 bytes each.
+BROADCAST_IDS = 1_000_000
 SEEDS = 32
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTE_HASH = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,18 +89,26 @@ class Shingler:
         return np.unique(_mix((sums[ends] - sums[starts]) * self.down[starts]))
 
 
-def _bitmap(shingles: np.ndarray) -> np.ndarray:
-    counts = np.bincount((shingles & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS)
+def _bitmap(shingles: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+    bits = 64 * words
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1, bitorder="little").view("<i8")
 
 
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that equal sets share."""
+    one = np.bitwise_xor.reduce(_mix(shingles ^ _MIX_1), initial=np.uint64(0))
+    two = np.add.reduce(_mix(shingles ^ _MIX_2), dtype=np.uint64)
+    return int(one.view(np.int64)), int(two.view(np.int64))
+
+
 def most_apart(n: int, percent: int) -> int:
     """Shingles in which a set of ``n`` and a set linked with it differ at most."""
     return n * (100 - percent) // percent
 
 
 def _spare(d: int) -> int:
-    return d // 12 + 2
+    return d // 7 + 3
 
 
 def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -142,8 +153,9 @@ def _prints(words: int, percent: int):
                 for text in batch.column(1):
                     s = shingler(text.as_py())
                     n.append(len(s))
-                    a.append(int(np.bitwise_xor.reduce(_mix(s ^ _MIX_1), initial=np.uint64(0)).view(np.int64)))
-                    b.append(int(np.add.reduce(_mix(s ^ _MIX_2)).view(np.int64)))
+                    one, two = _digest(s)
+                    a.append(one)
+                    b.append(two)
                     bitmaps.append(_bitmap(s))
                     keys.append(tile_keys(s, percent).view(np.int64))
                 longs = pa.list_(pa.int64())
@@ -162,69 +174,97 @@ def _sets(words: int):
         for whole in batches:
             for start in range(0, whole.num_rows, 512):
                 batch = whole.slice(start, 512)
-                sets = [shingler(text.as_py()).view(np.int64) for text in batch.column(1)]
+                sets = [shingler(text.as_py()) for text in batch.column(1)]
+                digests = pa.array([_digest(s)[0] for s in sets], pa.int64())
+                longs = pa.list_(pa.int64())
+                arrays = pa.array([s.view(np.int64) for s in sets], longs)
+                wide = pa.array([_bitmap(s, WIDE_WORDS) for s in sets], longs)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "shingles"]
+                    [batch.column(0), arrays, wide, digests], names=["id", "shingles", "wide", "digest"]
                 )
 
     return run
 
 
 def _tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, place, first, id`` of each key that two ids share, from rows sorted by key and id."""
-    held: pa.RecordBatch | None = None  # the last row, whose key may go on
-    key_before, place, first = None, 0, None
+    """``key, place, id`` of each key that unequal sets share, from rows sorted by ``key, a, id``.
+
+    Of the rows of a key with one digest ``a``, which are copies, the first alone counts.
+    """
+    names = ["key", "place", "id"]
+    held = None  # key, digest, id and place of the last row, which may have to be sent yet
     for batch in batches:
-        if not batch.num_rows:
+        keys, digests, ids = (batch.column(i).to_numpy() for i in range(3))
+        same = np.zeros(len(keys), bool)
+        same[1:] = (keys[1:] == keys[:-1]) & (digests[1:] == digests[:-1])
+        if held is not None and len(keys):
+            same[0] = keys[0] == held[0] and digests[0] == held[1]
+        keys, digests, ids = keys[~same], digests[~same], ids[~same]
+        if not len(keys):
             continue
         if held is not None:
-            batch = pa.concat_batches([held, batch])
-        keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            keys, digests, ids = (np.concatenate(([x], y)) for x, y in zip(held, (keys, digests, ids)))
         at = np.arange(len(keys))
         head = np.concatenate(([True], keys[1:] != keys[:-1]))
         start = np.maximum.accumulate(np.where(head, at, 0))
-        places, firsts = at - start, ids[start]
-        goes_on = keys == key_before if key_before is not None and keys[0] == key_before else None
-        if goes_on is not None:
-            places = np.where(goes_on, places + place, places)
-            firsts = np.where(goes_on, first, firsts)
-        tail = np.concatenate((keys[1:] == keys[:-1], [False]))
-        send = (places > 0) | tail
+        places = at - start
+        if held is not None:
+            places += held[3] * (keys == keys[0])  # the rows are sorted, so these come first
+        send = (places > 0) | np.concatenate((~head[1:], [False]))
         send[-1] = False
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x[send]) for x in (keys, places, firsts, ids)], names=["key", "place", "first", "id"]
-        )
-        held = batch.slice(len(keys) - 1, 1)
-        key_before, place, first = keys[-1], int(places[-1]), firsts[-1]
-    if held is not None and place > 0:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x], pa.int64()) for x in (int(key_before), place, int(first), held.column(1)[0].as_py())],
-            names=["key", "place", "first", "id"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(x[send]) for x in (keys, places, ids)], names=names)
+        held = keys[-1], digests[-1], ids[-1], places[-1]
+    if held is not None and held[3] > 0:
+        row = held[0], held[3], held[2]
+        yield pa.RecordBatch.from_arrays([pa.array([int(x)], pa.int64()) for x in row], names=names)
 
 
-def _within(n_a: str, n_b: str, bitmap_a: str, bitmap_b: str, percent: int) -> Column:
-    """Whether the bitmaps leave room for a link."""
+def _within(percent: int, words: int = BITMAP_WORDS) -> Column:
+    """Whether the bitmaps of the sides a and b leave room for a link."""
+    n_a, n_b = "n_a", "n_b"
     apart = reduce(
         Column.__add__,
-        [F.bit_count(F.get(bitmap_a, i).bitwiseXOR(F.get(bitmap_b, i))) for i in range(BITMAP_WORDS)],
+        [F.bit_count(F.get("bitmap_a", i).bitwiseXOR(F.get("bitmap_b", i))) for i in range(words)],
     )
     total = F.col(n_a) + F.col(n_b)
     overlap = F.least(F.col(n_a), F.col(n_b), (total - apart) / 2)
     return overlap * (100 + percent) >= total * percent
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The stored ``pairs`` of ids whose sets really link."""
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .withColumn("common", common)
+def _few(pairs: DataFrame) -> DataFrame:
+    """The ids in ``pairs``, with a broadcast hint if a count shows them to be few."""
+    ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id")
+    ids = materialize(ids, "pair-ids")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, prints: DataFrame, repeated: bool, words: int, percent: int) -> DataFrame:
+    """The stored ``pairs`` of ids whose sets really link; only their texts are read into sets."""
+    few = _few(pairs)
+    sets = texts.join(few, "id", "left_semi").mapInArrow(
+        _sets(words), "id long, shingles array<long>, wide array<long>, digest long"
+    )
+    if repeated:  # of the rows of an id, the one whose set is in ``prints``
+        own = prints.join(few, "id", "left_semi").select("id", F.col("a").alias("digest"))
+        sets = sets.join(own, ["id", "digest"], "left_semi").dropDuplicates(["id"])
+    sets = materialize(sets.drop("digest"), "pair-sets")
+
+    # A wider bitmap first: it is a fraction of the set, and few pairs that do not link get past it.
+    left, right = (
+        sets.select(F.col("id").alias(x), F.size("shingles").alias(f"n_{x}"), F.col("wide").alias(f"bitmap_{x}"))
+        for x in ("a", "b")
+    )
+    near = pairs.join(left, "a").join(right, "b").filter(_within(percent, WIDE_WORDS)).select("a", "b")
+    near = materialize(near, "near-pairs")
+    sets = sets.join(_few(near), "id", "left_semi")
+    left, right = (sets.select(F.col("id").alias(x), F.col("shingles").alias(y)) for x, y in (("a", "left"), ("b", "right")))
+    linked = (
+        near.join(left, "a").join(right, "b")
+        .withColumn("common", F.size(F.array_intersect("left", "right")))
         .filter(F.col("common") * 100 >= (F.size("left") + F.size("right") - F.col("common")) * percent)
         .select("a", "b")
     )
+    return materialize(linked, "links")
 
 
 def similarity_classes(
@@ -244,61 +284,54 @@ def similarity_classes(
         "shingle-prints",
     )
     one = prints.groupBy("id").agg(F.min(F.struct("a", "b", "n")).alias("set")).select("id", "set.*")
-    classes = materialize(
-        one.filter("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")),
-        "shingle-classes",
-    )
-    heads = classes.select(F.col("head").alias("id"), "a", "b", "n")
-
-    rows = prints.join(heads, ["id", "a", "b", "n"], "left_semi").select(
-        F.explode(F.array_distinct("keys")).alias("key"), "id"
-    )
+    repeated = one.count() < prints.count()
+    if repeated:
+        own = prints.join(one, ["id", "a", "b", "n"], "left_semi").dropDuplicates(["id"])
+        prints = materialize(own, "shingle-prints")
+        one = prints.select("id", "a", "b", "n")
+
+    # The rows of a class share their keys; the least id of a class, its head, stands for it.
+    rows = prints.select(F.explode(F.array_distinct("keys")).alias("key"), "a", "id")
     tiles = materialize(
-        rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(
-            _tiles, "key long, place long, first long, id long"
+        rows.repartition("key").sortWithinPartitions("key", "a", "id").mapInArrow(
+            _tiles, "key long, place long, id long"
         ),
         "tiles",
     )
-    members = materialize(tiles.select("id").distinct(), "tile-members")
-    # Rows of one id have equal texts here, or the least of them has won above.
-    bitmaps = materialize(
-        prints.select("id", "a", "b", "n", "bitmap")
-        .join(heads, ["id", "a", "b", "n"], "left_semi")
-        .join(members, "id", "left_semi")
-        .dropDuplicates(["id"])
-        .select("id", "n", "bitmap"),
-        "tile-bitmaps",
-    )
-    sets = texts.join(members, "id", "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
-    sets = materialize(
-        sets.join(bitmaps.select("id", "n"), "id").filter(F.size("shingles") == F.col("n"))
-        .dropDuplicates(["id"]).select("id", "shingles"), "tile-sets",
-    )
+    bitmaps = prints.select("id", "n", "bitmap").join(tiles.select("id").distinct(), "id", "left_semi")
+    bitmaps = materialize(bitmaps, "tile-bitmaps")
 
     def sided(side: str) -> DataFrame:
         return bitmaps.select(
             F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bitmap").alias(f"bitmap_{side}")
         )
 
-    within = _within("n_a", "n_b", "bitmap_a", "bitmap_b", percent)
-    firsts = (
-        tiles.filter("place > 0").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-        .join(sided("a"), "a").join(sided("b"), "b").filter(within).select("a", "b")
-    )
-    first_links = materialize(_linked(materialize(firsts, "first-pairs"), sets, percent), "first-links")
+    within = _within(percent)
+    # The centre of a tile is the document that meets most others in its tiles: of variants of one
+    # text that is the text itself, which links with most of them.
+    sizes = tiles.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    score = tiles.join(materialize(sizes, "tile-sizes"), "key").groupBy("id").agg(F.sum("size").alias("score"))
+    ranked = tiles.join(materialize(score, "tile-scores"), "id").groupBy("key")
+    centres = ranked.agg(F.max(F.struct("score", (-F.col("id")).alias("minus"))).alias("top"))
+    centres = materialize(centres.select("key", (-F.col("top.minus")).alias("a")), "tile-centres")
+    met = tiles.join(centres, "key").select("a", F.col("id").alias("b")).filter("a <> b").distinct()
+    firsts = met.join(sided("a"), "a").join(sided("b"), "b").filter(within).select("a", "b")
+    first_links = _linked(materialize(firsts, "first-pairs"), texts, prints, repeated, words, percent)
     joined = components(first_links, "a", "b")
-    known = materialize(
-        bitmaps.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "first-components"
-    )
+    known = bitmaps.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    known = materialize(known, "first-components")
 
     # Pairs of one tile in different components, block by block.
-    placed = tiles.join(known, "id").withColumn("block", F.floor(F.col("place") / BLOCK).cast("int"))
-    placed = materialize(placed.select("key", "id", "block", "component", "n", "bitmap"), "placed-tiles")
-    open_keys = placed.groupBy("key").agg(
+    narrow = tiles.join(known.select("id", "component"), "id").withColumn(
+        "block", F.floor(F.col("place") / BLOCK).cast("int")
+    )
+    narrow = materialize(narrow.select("key", "id", "block", "component"), "placed-tiles")
+    open_keys = narrow.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.max("block").alias("last")
     )
     open_keys = materialize(open_keys.filter("low < high").select("key", "last"), "open-tiles")
-    placed = placed.join(open_keys, "key")
+    placed = narrow.join(open_keys, "key").join(bitmaps, "id")
+    placed = materialize(placed, "open-tile-rows")
     left = placed.select(
         "key", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"),
         *[F.col(c).alias(f"{c}_a") for c in ("id", "component", "n", "bitmap")],
@@ -315,10 +348,11 @@ def similarity_classes(
     rest = left.join(right, ["key", "i", "j"]).filter(meets).select(
         F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")
     )
-    rest_links = _linked(materialize(rest.distinct(), "rest-pairs"), sets, percent)
+    rest_links = _linked(materialize(rest.distinct(), "rest-pairs"), texts, prints, repeated, words, percent)
     linked = components(first_links.union(rest_links), "a", "b")
 
     # Copies take the component of their class.
+    classes = one.filter("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("head"))
     found = classes.join(linked, classes["head"] == linked["id"], "left").select(
         "a", "b", "n", F.coalesce("component", "head").alias("component_id")
     )
