@@ -9,7 +9,8 @@ PNG_SIGNATURE = "89504E470D0A1A0A"
 
 
 def _uint32(content: Column, at: int) -> Column:
-    return F.conv(F.hex(F.substring(content, at, 4)), 16, 10).cast("int")
+    """Null where the field is no positive int, which no real size is."""
+    return F.conv(F.hex(F.substring(content, at, 4)), 16, 10).try_cast("int")
 
 
 def png_size(content: Column) -> Column:

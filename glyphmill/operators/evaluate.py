@@ -150,9 +150,10 @@ def join_predictions(truth: DataFrame, predictions: dict[str, DataFrame], key: s
     """Ground truth with each system's text, joined on the record key.
 
     ``predictions`` maps the wanted column to a table ``key, text``. A record a
-    system has no text for gets null there.
+    system has no text for gets null there. Of several texts for one key the least
+    counts, so a record is scored once; ``prediction_problems`` lists such keys.
     """
-    named = [p.select(key, F.col("text").alias(name)) for name, p in predictions.items()]
+    named = [p.groupBy(key).agg(F.min("text").alias(name)) for name, p in predictions.items()]
     return reduce(lambda left, right: left.join(right, key, "left"), named, truth)
 
 

@@ -68,16 +68,21 @@ def with_text_region(df: DataFrame) -> DataFrame:
     )
 
 
+def _decimal(x: Column) -> Column:
+    """A double in plain decimals with at least one place, like 0.0005 and 1.0."""
+    return F.regexp_replace(x.cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+
+
 def effects() -> Column:
     """The active image effects in the order they apply, as ``ARRAY<STRUCT<op, args>>``."""
     w, h, p = F.col("width"), F.col("height"), F.col("perspective")
     shift = (F.least(w, h) * p * 0.2).cast("int")
-    text = {n: F.col(n).cast("string") for n in ("rotation", "skew_x", "skew_y")}
+    text = {n: _decimal(F.col(n)) for n in ("rotation", "skew_x", "skew_y")}
     noise = F.when(
         F.col("noise_amount") > 0,
-        F.concat_ws(" ", F.col("noise_type"), F.col("noise_amount").cast("string")),
+        F.concat_ws(" ", F.col("noise_type"), _decimal(F.col("noise_amount"))),
     ).otherwise(F.col("noise_type"))
-    border = (F.col("extent_padding") / 2.0).cast("string")
+    border = _decimal(F.col("extent_padding") / 2.0)
     rules = [
         ("rotate", F.abs("rotation") > 0.1, text["rotation"]),
         (
@@ -90,7 +95,7 @@ def effects() -> Column:
         (
             "dirty",
             F.col("use_dirty") & ~F.col("use_noise"),
-            F.col("dirty_attenuate").cast("string"),
+            _decimal(F.col("dirty_attenuate")),
         ),
         (
             "brightness-contrast",
@@ -103,7 +108,7 @@ def effects() -> Column:
             F.col("use_morphology"),
             F.concat_ws(" ", "morphology_type", "morphology_kernel"),
         ),
-        ("wave", F.col("apply_wave"), F.concat(F.lit("2x"), (w * 0.5).cast("string"))),
+        ("wave", F.col("apply_wave"), F.concat(F.lit("2x"), _decimal(w * 0.5))),
         ("trim", F.lit(True), F.lit("10%")),
         ("border", F.col("extent_padding") > 0, F.concat(border, F.lit("x"), border)),
     ]

@@ -63,8 +63,10 @@ def checked_images(images: DataFrame) -> DataFrame:
     )
 
 
-def split_usable(df: DataFrame, required: list[str], stage: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with every required value, and error rows ``key, stage, error`` for the others."""
+def split_usable(
+    df: DataFrame, required: list[str], stage: str, key: str, place: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with every required value, and error rows ``key, stage, error`` and ``place`` for the others."""
     missing = F.filter(
         F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull()
     )
@@ -73,7 +75,7 @@ def split_usable(df: DataFrame, required: list[str], stage: str, key: str) -> tu
     error = F.concat(F.lit("missing "), F.array_join("_missing", ", "))
     failed = flagged.filter(F.size("_missing") > 0)
     return usable, failed.select(
-        F.col(key).alias("key"), F.lit(stage).alias("stage"), F.left(error, F.lit(500)).alias("error")
+        F.col(key).alias("key"), F.lit(stage).alias("stage"), F.left(error, F.lit(500)).alias("error"), *place
     )
 
 

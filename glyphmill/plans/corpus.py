@@ -9,7 +9,7 @@ from glyphmill.operators.chunks import plan_chunks
 from glyphmill.operators.manifest import planned_blocks, render_manifest
 from glyphmill.operators.runlog import error_rows, observed
 from glyphmill.sources.corpus import read_corpus
-from glyphmill.sources.sinks import write_texts
+from glyphmill.sources.sinks import stored_runs, write_run, write_texts
 
 
 def build_manifest(
@@ -21,25 +21,34 @@ def build_manifest(
     limit: int = 0,
     order_by: list[str] | None = None,
 ) -> dict[str, int]:
-    """Write ``manifest``, ``text`` and ``rejected`` tables below ``output``.
+    """Write ``manifest``, ``text``, ``rejected`` and ``counters`` below ``output``, a folder per run.
 
     ``corpus`` is a CSV path, or a table with ``row_ordinal`` or a unique key
-    to order by. Returns the run's counters.
+    to order by. Returns the run's counters. A run resumed from a row keeps what
+    earlier runs wrote up to it and replaces what later ones did, so a limited run
+    and its continuation make one full run, however often they are repeated.
     """
+    counters_at = f"{output}/counters"
+    if any(run < resume_from for run in stored_runs(spark, counters_at)):
+        earlier = spark.read.parquet(counters_at).filter(F.col("run") < resume_from)
+        past = earlier.agg(F.max("last_row")).first()[0]
+        if past is not None and past > resume_from:
+            raise ValueError(f"an earlier run went to row {past}: resume from there, or from one of its starts")
     rows = read_corpus(spark, corpus) if isinstance(corpus, str) else corpus
     blocks = plan_chunks(rows, seed, resume_from, limit, order_by)
     counted, seen = observed(
         blocks, "blocks", chunks=F.count(F.lit(1)), last_row=F.max("row_ordinal")
     )
     manifest, kept = observed(render_manifest(counted, seed), "manifest", accepted=F.count(F.lit(1)))
-    manifest.write.mode("overwrite").parquet(f"{output}/manifest")
+    write_run(manifest, f"{output}/manifest", resume_from)
     counters = {**seen.get, **kept.get}
 
-    stored = spark.read.schema(manifest.schema).parquet(f"{output}/manifest")
-    write_texts(stored, f"{output}/text")
-    if counters["accepted"] < counters["chunks"]:
-        refused = planned_blocks(blocks, seed).filter(F.col("reject_reason").isNotNull())
-        error_rows(refused, "chunk_no", "size", F.col("reject_reason")).write.mode(
-            "overwrite"
-        ).parquet(f"{output}/rejected")
+    stored = spark.read.schema(manifest.schema).parquet(f"{output}/manifest/run={resume_from}")
+    write_texts(stored, f"{output}/text", resume_from)
+    refused = planned_blocks(blocks, seed).filter(F.col("reject_reason").isNotNull())
+    if counters["accepted"] == counters["chunks"]:
+        refused = refused.limit(0)  # nothing to look for, but an older table must go
+    write_run(error_rows(refused, "chunk_no", "size", F.col("reject_reason")), f"{output}/rejected", resume_from)
+    row = [tuple(counters[k] for k in ("chunks", "last_row", "accepted"))]
+    write_run(spark.createDataFrame(row, "chunks long, last_row long, accepted long"), counters_at, resume_from)
     return counters

@@ -54,19 +54,28 @@ def _with_image(spark: SparkSession, placed: DataFrame, images_dir: str) -> Data
     return placed.join(files.select("basename", image.alias("image")), "basename")
 
 
-def _usable(df: DataFrame, required: list[str], output: str, write: Callable[[DataFrame], None]) -> None:
+def _earlier(config: PrepConfig) -> Column:
+    """Whether a row lies in a shard before those that the run covers."""
+    train = (F.col("split") == "train") & (F.col("shard_idx") < config.resume_train_shard)
+    return train | ((F.col("split") == "test") & (F.col("shard_idx") < config.resume_test_shard))
+
+
+def _usable(
+    df: DataFrame, required: list[str], output: str, write: Callable[[DataFrame], None], kept: Column | None = None
+) -> None:
     """``write`` the rows that have every required value; list the others at ``output/failed``.
 
     The failures are counted while writing, and read again only if there are any.
+    ``kept`` tells which failures of an earlier run stay in the list.
     """
     broken = reduce(Column.__or__, [F.col(c).isNull() for c in required])
     counted, seen = observed(df, "samples", failed=F.count_if(broken))
     usable, _ = split_usable(counted, required, "reshape", "basename")
     write(usable)
-    failed = split_usable(df, required, "reshape", "basename")[1]
+    failed = split_usable(df, required, "reshape", "basename", ("split", "shard_idx"))[1]
     if not seen.get["failed"]:
         failed = failed.limit(0)
-    failed.write.mode("overwrite").parquet(f"{output}/failed")
+    sinks.replace_from(failed, f"{output}/failed", F.lit(False) if kept is None else kept)
 
 
 def build_flat(
@@ -97,7 +106,7 @@ def build_chat(
         samples = chat_sample(df, *_PLACE, instruction=config.instruction)
         sinks.write_shards(samples, f"{output}/data")
 
-    _usable(full, ["text", "image"], output, write)
+    _usable(full, ["text", "image"], output, write, _earlier(config))
 
 
 def build_instruction(
@@ -113,8 +122,8 @@ def build_instruction(
         )
         sinks.write_instruction_lines(lines, f"{output}/lines")
 
-    _usable(_with_text(spark, placed, texts_dir), ["text"], output, write)
+    _usable(_with_text(spark, placed, texts_dir), ["text"], output, write, _earlier(config))
     # A sample whose text failed is in no archive either.
     failed = spark.read.parquet(f"{output}/failed").select(F.col("key").alias("basename"))
     kept = placed.join(failed, "basename", "left_anti")
-    asset_manifest(kept, "basename").write.mode("overwrite").parquet(f"{output}/assets")
+    sinks.replace_from(asset_manifest(kept, "basename"), f"{output}/assets", _earlier(config))

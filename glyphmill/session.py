@@ -50,6 +50,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more."""
+    for df in stored:
+        spark = df.sparkSession
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            if folder.startswith(scratch_dir(spark)) or scratch_dir(spark) in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application stored in the scratch folder, once its results are written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))

@@ -19,7 +19,7 @@ def read_corpus_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     An empty field is empty text; a field that its row does not have is null.
     Quoted fields may hold line ends, so a file is read by one task. Give many
-    files for a large corpus.
+    files with one header for a large corpus.
     """
     reader = (
         spark.read.option("header", True)
@@ -30,6 +30,8 @@ def read_corpus_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("mode", "PERMISSIVE")
         # Every field is parsed, so that short rows are told from empty fields.
         .option("columnPruning", False)
+        # A file whose header has other names or another order ends the read with an error.
+        .option("enforceSchema", False)
     )
     header = reader.csv(path).schema
     flagged = StructType(header.fields).add(_SHORT, StringType())

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from glyphmill.operators.manifest import MANIFEST_COLUMNS, planned_blocks
@@ -78,7 +79,7 @@ def test_manifest_from_csv(spark, tmp_path):
             expected += [(i, k, b) for k, b in enumerate(brute.blocks(text, 42 + i), 1)]
     assert counters["chunks"] == len(expected) and counters["last_row"] == 25
     manifest = spark.read.parquet(f"{out}/manifest")
-    assert manifest.columns == MANIFEST_COLUMNS
+    assert manifest.columns == [*MANIFEST_COLUMNS, "run"]
     rows = manifest.collect()
     assert len(rows) == counters["accepted"] == len(expected)
     assert len({r.basename for r in rows}) == len(rows)
@@ -88,7 +89,7 @@ def test_manifest_from_csv(spark, tmp_path):
         assert row.text in (block, block.upper())
         assert row.basename == f"zpo_row-{i}_{k:03d}_{int(row.aspect_ratio * 100)}ar"
     texts = spark.read.parquet(f"{out}/text")
-    assert texts.columns == ["basename", "text"] and texts.count() == len(rows)
+    assert texts.columns == ["basename", "text", "run"] and texts.count() == len(rows)
     assert folder_megabytes(spark, f"{out}/text").first().megabytes > 0
 
 
@@ -107,7 +108,7 @@ def test_rejected_blocks_are_listed(spark, tmp_path):
     # The word over the limit comes after an empty block, which takes a number as well.
     assert (counters["chunks"], counters["accepted"]) == (3, 1)
     rejected = spark.read.parquet(f"{tmp_path}/out/rejected").collect()
-    assert [tuple(r) for r in rejected] == [("2", "size", "no valid size in 11 attempts")]
+    assert [tuple(r)[:3] for r in rejected] == [("2", "size", "no valid size in 11 attempts")]
 
 
 def test_blocks_without_valid_size_are_rejected(spark):
@@ -139,3 +140,19 @@ def test_stream_picks_up_where_it_stopped(spark, tmp_path):
     batch = plan_chunks(rows).drop("chunk_no").select(*streamed.columns)
     assert 0 < seen[0] < seen[1] == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_resumed_run_completes_a_limited_one(spark, tmp_path):
+    path = long_csv(tmp_path / "c.csv")
+    full, parts = str(tmp_path / "full"), str(tmp_path / "parts")
+    build_manifest(spark, path, full)
+    last = build_manifest(spark, path, parts, limit=8)["last_row"]
+    for _ in range(2):  # a repeat changes nothing
+        build_manifest(spark, path, parts, resume_from=last)
+        for name in ("manifest", "text", "rejected"):
+            one, two = (spark.read.parquet(f"{p}/{name}").drop("run") for p in (full, parts))
+            assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+    with pytest.raises(ValueError, match="earlier run"):
+        build_manifest(spark, path, parts, resume_from=last + 2)
+    build_manifest(spark, path, parts)  # from the start: the continuation goes
+    assert spark.read.parquet(f"{parts}/counters").count() == 1

@@ -181,3 +181,11 @@ def test_failed_samples_go_to_quarantine(spark):
     usable, failed = split_usable(df, ["t", "n"], "read", "k")
     assert [r.k for r in usable.collect()] == ["a"]
     assert {tuple(r) for r in failed.collect()} == {("b", "read", "missing t"), ("c", "read", "missing t, n")}
+
+
+def test_impossible_png_size_is_null(spark):
+    from glyphmill.functions.png import png_size
+
+    head = bytes.fromhex("89504E470D0A1A0A") + bytes(4) + b"IHDR"
+    df = spark.createDataFrame([(bytearray(head + b"\xff" * 4 + bytes([0, 0, 1, 0])),)], "content binary")
+    assert df.select(png_size(df.content)).first()[0] is None

@@ -114,3 +114,10 @@ def test_run_log_texts(spark):
     assert line == "PROGRESS: 12.5% | Row: 5/40 | Effective: 4 | Chunks: 9 | Output: 1.3MB"
     error = error_rows(one, "id", "render", F.lit("a\nb" + "x" * 600)).first()
     assert error.key == "0" and error.error == "a b" + "x" * 497
+
+
+def test_duplicate_predictions_score_once(spark):
+    truth = spark.createDataFrame([("a", "x", "abc")], "id string, language string, ground_truth string")
+    twice = spark.createDataFrame([("a", "abd"), ("a", "abc")], "id string, text string")
+    joined = E.join_predictions(truth, {"raw": twice, "finetuned": twice})
+    assert [(r.raw, r.finetuned) for r in joined.collect()] == [("abc", "abc")]
