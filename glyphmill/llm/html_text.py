@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.llm.shared import bounded_batches
 from glyphmill.llm.urls import host_of
 from glyphmill.session import materialize
 
@@ -278,6 +279,7 @@ def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """``id, url, text`` of every row: blocks joined by a line feed, white space inside them single."""
+    bounded_batches(pages.sparkSession)
     narrow = pages.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"),

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.llm.shared import bounded_batches
+
 UNDETERMINED = "und"
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -214,6 +216,7 @@ def fit(
     cuts: int = 4,
 ) -> ByteNetwork | None:
     """A network for the languages of ``docs``; None without a labelled text."""
+    bounded_batches(docs.sparkSession)
     passages, langs = labelled_sample(docs, id_col, text_col, lang_col, per_lang, cuts, 2 * WINDOW)
     return train(passages, langs) if passages else None
 

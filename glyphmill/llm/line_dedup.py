@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.session import materialize
+from glyphmill.llm.shared import bounded_batches
+from glyphmill.session import discard, materialize
 
 SPACE = b" \t\n\x0b\x0c\r"
 BLOCK_BITS = 8192
@@ -166,6 +167,7 @@ def dropped_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3
 ) -> DataFrame:
     """``id, drops``: the digests of the lines that each document loses."""
+    bounded_batches(docs.sparkSession)
     digests = materialize(line_digests(docs, id_col, text_col, min_chars), "line-digests")
     suspected = materialize(suspects(digests), "line-suspects")
     common = (
@@ -177,6 +179,7 @@ def dropped_lines(
     )
     # Stored, so that Spark sees its true size and can split a very common line's rows.
     common = materialize(common, "line-common")
+    discard(digests)
     losing = suspected.join(common, ["a", "b"]).filter(F.col("id") < F.col("last"))
     return losing.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("drops"))
 

@@ -26,7 +26,8 @@ stand as one document with the set of the row whose digest is least.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import cache, reduce
+from math import exp
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphmill.llm.components import components
-from glyphmill.session import materialize
+from glyphmill.llm.shared import bounded_batches
+from glyphmill.session import discard, materialize
 
 BITMAP_WORDS = 8
 WIDE_WORDS = 64  # of the bitmaps that pairs must pass before their sets are sent
@@ -42,6 +44,7 @@ BLOCK = 1024
 #: Ids of documents to be read into sets are broadcast up to so many: 8 bytes each.
 BROADCAST_IDS = 1_000_000
 SEEDS = 32
+MARGIN = 1.3  # spare parts beyond those that are empty on average
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTE_HASH = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -107,8 +110,20 @@ def most_apart(n: int, percent: int) -> int:
     return n * (100 - percent) // percent
 
 
-def _spare(d: int) -> int:
-    return d // 7 + 3
+@cache
+def _spare_share(percent: int) -> float:
+    """Spare parts for each part needed, so that few sets have more empty parts than spares.
+
+    The smallest sets of a band have the emptiest parts: on average 1 / (2 r (1 + share)) shingles each,
+    r being the share of shingles that may differ.
+    """
+    r = (100 - percent) / percent
+    shares = (i / 100 for i in range(1, 100))
+    return next((s for s in shares if s / (1 + s) >= MARGIN * exp(-1 / (2 * r * (1 + s)))), 1.0)
+
+
+def _spare(d: int, percent: int) -> int:
+    return int(d * _spare_share(percent)) + 3
 
 
 def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
@@ -120,8 +135,8 @@ def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     band, keys = n.bit_length(), []
     for scheme in {band, (n * 100 // percent).bit_length()}:
         widest = most_apart(2**scheme - 1, percent)
-        parts = widest + 1 + _spare(widest)
-        first, spare = apart + 1 + _spare(apart), _spare(apart)
+        parts = widest + 1 + _spare(widest, percent)
+        first, spare = apart + 1 + _spare(apart, percent), _spare(apart, percent)
         for seed in range(SEEDS):
             salt = _mix(np.array([scheme << 32 | seed], np.uint64))[0]
             dealt = _mix(shingles ^ salt)
@@ -247,24 +262,27 @@ def _linked(pairs: DataFrame, texts: DataFrame, prints: DataFrame, repeated: boo
     if repeated:  # of the rows of an id, the one whose set is in ``prints``
         own = prints.join(few, "id", "left_semi").select("id", F.col("a").alias("digest"))
         sets = sets.join(own, ["id", "digest"], "left_semi").dropDuplicates(["id"])
-    sets = materialize(sets.drop("digest"), "pair-sets")
+    stored = materialize(sets.drop("digest"), "pair-sets")
 
     # A wider bitmap first: it is a fraction of the set, and few pairs that do not link get past it.
     left, right = (
-        sets.select(F.col("id").alias(x), F.size("shingles").alias(f"n_{x}"), F.col("wide").alias(f"bitmap_{x}"))
+        stored.select(F.col("id").alias(x), F.size("shingles").alias(f"n_{x}"), F.col("wide").alias(f"bitmap_{x}"))
         for x in ("a", "b")
     )
     near = pairs.join(left, "a").join(right, "b").filter(_within(percent, WIDE_WORDS)).select("a", "b")
     near = materialize(near, "near-pairs")
-    sets = sets.join(_few(near), "id", "left_semi")
-    left, right = (sets.select(F.col("id").alias(x), F.col("shingles").alias(y)) for x, y in (("a", "left"), ("b", "right")))
+    sets = stored.join(_few(near), "id", "left_semi")
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
     linked = (
         near.join(left, "a").join(right, "b")
         .withColumn("common", F.size(F.array_intersect("left", "right")))
         .filter(F.col("common") * 100 >= (F.size("left") + F.size("right") - F.col("common")) * percent)
         .select("a", "b")
     )
-    return materialize(linked, "links")
+    links = materialize(linked, "links")
+    discard(stored)
+    return links
 
 
 def similarity_classes(
@@ -274,6 +292,7 @@ def similarity_classes(
 
     A shingle is ``words`` words, separated by ASCII white space, with A to Z lower-cased.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text")
     )
@@ -357,4 +376,7 @@ def similarity_classes(
         "a", "b", "n", F.coalesce("component", "head").alias("component_id")
     )
     result = one.join(materialize(found, "class-components"), ["a", "b", "n"], "left")
-    return result.select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    result = result.select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    result = materialize(result, "similarity-classes")
+    discard(prints, tiles, bitmaps, placed)
+    return result

@@ -26,3 +26,14 @@ def ascii_lower(text: Column) -> Column:
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+#: Rows of an Arrow batch at most: texts may be long, and a task holds a batch several times over.
+BATCH_ROWS = 2000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_ROWS``; smaller ones stay as they are."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))

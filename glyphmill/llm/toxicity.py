@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from glyphmill.llm.shared import bounded_batches
+
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 SIZES = (3, 4, 5)
@@ -213,6 +215,7 @@ def fit(
 
     The least label counts where an id has several.
     """
+    bounded_batches(docs.sparkSession)
     marks = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     marks = marks.groupBy(F.col(id_col).alias("_gm_id")).agg(F.min(label_col).alias("_gm_label"))
     counts = {r[0]: r[1] for r in marks.groupBy("_gm_label").count().collect()}
