@@ -141,9 +141,9 @@ def _token_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _classes(vectors: DataFrame, sizes: DataFrame, keys: list[str]) -> DataFrame:
+def _classes(vectors: DataFrame, keys: list[str]) -> DataFrame:
     """The template of each group: its valid classes' tokens in order, with their class."""
-    frequent = vectors.join(sizes, keys).filter((F.col("pages") * 2 >= F.col("size")) & (F.col("pages") >= 2))
+    frequent = vectors.filter((F.col("pages") * 2 >= F.col("size")) & (F.col("pages") >= 2))
     # The tokens here are at most twice as many as a page has on average.
     classes = frequent.groupBy(*keys, "vector", "pages", "total", "size").agg(
         F.array_sort(F.collect_list(F.struct("place", "token"))).alias("members")
@@ -175,20 +175,18 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("size")), "host-sizes")
     place = (F.col("places") / F.col("pages")).alias("place")
     own = _classes(
-        by_host.select("host", "token", "pages", "total", "vector", place), sizes.filter(F.col("size") >= MIN_PAGES),
+        by_host.select("host", "token", "pages", "total", "vector", place).join(
+            sizes.filter(F.col("size") >= MIN_PAGES), "host"
+        ),
         ["host"],
-    )
+    )
     # The vector of a token over all pages is the exclusive or of its vectors by host.
     all_hosts = by_host.groupBy("token").agg(
         F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("places").alias("places"),
         F.bit_xor("vector").alias("vector"),
     )
     n = sizes.agg(F.sum("size")).first()[0] or 0
-    general = _classes(
-        all_hosts.select("token", "pages", "total", "vector", place, F.lit(n).alias("group")),
-        sizes.sparkSession.range(1).select(F.lit(n).alias("group"), F.lit(n).alias("size")),
-        ["group"],
-    ).drop("group")
+    general = _classes(all_hosts.select("token", "pages", "total", "vector", place, F.lit(n).alias("size")), [])
     return materialize(own, "templates"), materialize(general, "template")
 
 
