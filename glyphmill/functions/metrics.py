@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,23 +51,28 @@ def _pair(x: Column, y: Column) -> Column:
     return F.struct(x.alias("x"), y.alias("y"))
 
 
-def _cut_start_and_turn(pair: Column) -> Column:
-    """Both texts without their common start, reversed."""
+def _text_rest(text: Column, start: Column) -> Column:
+    return F.reverse(F.substring(text, start + 1, F.length(text)))
+
+
+def _cut_start_and_turn(
+    pair: Column,
+    length: Callable[[Column], Column] = F.length,
+    part: Callable[[Column, Column, Column], Column] = F.substring,
+    rest: Callable[[Column, Column], Column] = _text_rest,
+) -> Column:
+    """Both sides, texts or arrays, without their common start, reversed."""
     x, y = pair["x"], pair["y"]
-    shorter = F.least(F.length(x), F.length(y))
+    shorter = F.least(length(x), length(y))
     top = F.floor(F.log2(F.greatest(shorter, F.lit(1)))).cast("int")
 
     def longer(known: Column, step: Column) -> Column:
         width = F.call_function("shiftleft", F.lit(1), top - step)
-        same = F.substring(x, known + 1, width) == F.substring(y, known + 1, width)
+        same = part(x, known + 1, width) == part(y, known + 1, width)
         return F.when((known + width <= shorter) & same, known + width).otherwise(known)
 
     # Halving widths: the start is known to agree up to ``known``, and is tried a step further.
     shared = F.aggregate(F.sequence(F.lit(0), top), F.lit(0), longer)
-
-    def rest(text: Column, start: Column) -> Column:
-        return F.reverse(F.substring(text, start + 1, F.length(text)))
-
     return let(shared, lambda start: _pair(rest(x, start), rest(y, start)))
 
 
@@ -76,31 +83,47 @@ def _levenshtein(x: Column, y: Column, threshold: Column) -> Column:
 def word_edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance over two arrays of words.
 
-    Each distinct word of the pair becomes one private code point, which turns
-    the word lists into strings for the built-in.
+    Common ends are cut. Each distinct word that both rests hold becomes one private code point,
+    which turns the word lists into strings for the built-in; words of one side alone match
+    nothing and share one code for each side. Null for more than 2**20 - 2 different words in
+    common, so that such a pair is told by its missing rate and the job goes on.
     """
 
-    def coded(lists: Column) -> Column:
-        def code(vocabulary: Column, ws: Column) -> Column:
-            hexes = F.transform(
-                ws,
-                lambda w: F.lpad(
-                    F.hex(F.array_position(vocabulary, w) + (FIRST_CODE - 1)), 8, "0"
-                ),
-            )
-            return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
-
-        def over(vocabulary: Column) -> Column:
-            coded_pair = _pair(code(vocabulary, lists["x"]), code(vocabulary, lists["y"]))
-            too_many = F.raise_error(F.lit("more distinct words in one pair than code points"))
-            return F.when(F.size(vocabulary) > MAX_WORDS, too_many.cast("int")).otherwise(
-                let(coded_pair, _in_bands)
-            )
-
-        distinct = F.array_distinct(F.concat(lists["x"], lists["y"]))
-        return F.when(lists["x"] == lists["y"], 0).otherwise(let(distinct, over))
-
-    return let(_pair(a, b), coded)
+    def rest(ws: Column, start: Column) -> Column:
+        return F.reverse(F.slice(ws, start + 1, F.size(ws)))
+
+    def cut(pair: Column) -> Column:
+        return _cut_start_and_turn(pair, F.size, F.slice, rest)
+
+    def code(shared: Column, ws: Column, alone: int) -> Column:
+        hexes = F.transform(ws, lambda w: F.lpad(F.hex(_place_in(shared, w, alone) + FIRST_CODE), 8, "0"))
+        return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
+
+    def over(lists: Column) -> Column:
+        def coded(shared: Column) -> Column:
+            pair = _pair(code(shared, lists["x"], MAX_WORDS - 2), code(shared, lists["y"], MAX_WORDS - 1))
+            return F.when(F.size(shared) <= MAX_WORDS - 2, let(pair, _in_bands))
+
+        return let(F.array_sort(F.array_intersect(lists["x"], lists["y"])), coded)
+
+    def differing(pair: Column) -> Column:
+        return let(cut(pair), lambda p: let(cut(p), over))
+
+    return F.when(a == b, 0).when(a != b, let(_pair(a, b), differing))
+
+
+def _place_in(words_in_order: Column, word: Column, otherwise: int) -> Column:
+    """The 0-based place of ``word`` in a sorted array, found by halving; ``otherwise`` if it is not there."""
+    n = F.size(words_in_order)
+    top = F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")
+
+    def further(known: Column, step: Column) -> Column:
+        ahead = known + F.call_function("shiftleft", F.lit(1), top - step)
+        return F.when((ahead <= n) & (F.get(words_in_order, ahead - 1) <= word), ahead).otherwise(known)
+
+    # ``known`` words are known not to come after the one looked for.
+    known = F.aggregate(F.sequence(F.lit(0), top), F.lit(0), further)
+    return let(known, lambda k: F.when(F.get(words_in_order, k - 1) == word, k - 1).otherwise(otherwise))
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:

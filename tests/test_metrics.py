@@ -82,6 +82,24 @@ def test_many_distinct_words(pairs):
     assert by_row(pairs(data), M.wer) == pytest.approx([1 / 3_000, 1.0])
 
 
+def test_words_of_one_side_and_of_both(pairs):
+    rng = random.Random(5)
+    words = ["a", "b", "é", "zz", "𝒳", "a b".replace(" ", "-")]
+    data = []
+    for _ in range(120):
+        both = [rng.choice(words) for _ in range(rng.randint(0, 40))]
+        x = [w if rng.random() < 0.8 else f"x{rng.randint(0, 3)}" for w in both]
+        y = [w if rng.random() < 0.8 else f"y{rng.randint(0, 3)}" for w in both if rng.random() < 0.9]
+        data.append((" ".join(x), " ".join(y)))
+    assert by_row(pairs(data), M.wer) == pytest.approx([rate(a.split(), b.split()) for a, b in data])
+
+
+def test_long_near_equal_word_lists(pairs):
+    many = [f"w{i}" for i in range(40_000)]
+    other = [w if i % 4_000 else "new" for i, w in enumerate(many)]
+    assert by_row(pairs([(" ".join(many), " ".join(other))]), M.wer) == pytest.approx([10 / 40_000])
+
+
 def test_distance_bounds(pairs):
     data = list(random_pairs(60, 80, "abc", 3))
     for (a, b), d in zip(data, by_row(pairs(data), M.edit_distance)):
