@@ -149,8 +149,13 @@ VARIANT_MIX = 0x85EBCA6B
 
 @dataclass(frozen=True)
 class PrepConfig:
-    """Settings of pairing, splitting and sharding."""
+    """Settings of pairing, splitting and sharding.
 
+    ``check_geometry`` reads the headers of all images before they are paired, for folders that
+    hold rendered images as they came, and leaves out those of a refused size or aspect.
+    """
+
+    # Fixed values.
     min_image_bytes: int = 20 * 1024
     train_ratio: float = 0.9
     shuffle_seed: int = 42
@@ -160,3 +165,4 @@ class PrepConfig:
     resume_test_shard: int = 0
     instruction: str = "OCR:"
     assets_prefix: str = "./assets/"
+    check_geometry: bool = False

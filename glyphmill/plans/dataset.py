@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.config import PrepConfig
-from glyphmill.functions.png import png_size
-from glyphmill.operators.pairs import orphan_counts, pair, split_usable
+from glyphmill.functions.png import has_image_signature
+from glyphmill.operators.pairs import checked_images, orphan_counts, pair, split_usable
 from glyphmill.operators.reshape import chat_sample, flat_sample, image_struct, instruction_sample
-from glyphmill.operators.runlog import observed
+from glyphmill.operators.runlog import error_rows, observed
 from glyphmill.operators.splits import asset_manifest, id_manifest, resume_shards, split_and_shard
 from glyphmill.session import materialize
 from glyphmill.sources import sinks
@@ -21,13 +21,34 @@ from glyphmill.sources.files import read_images, read_texts
 _PLACE = ("split", "shard_idx", "split_pos")
 
 
-def placed_pairs(
-    spark: SparkSession, images_dir: str, texts_dir: str, shard_size: int, config: PrepConfig
+def _usable_pairs(
+    spark: SparkSession, images_dir: str, texts_dir: str, config: PrepConfig, output: str, readable: bool = False
 ) -> DataFrame:
-    """``basename, path, length`` of every valid pair with its split and shard. Names only."""
+    """``basename, path, length`` of the stored pairs that can be used; names only.
+
+    Images of a refused size (if the config asks) and texts that are not UTF-8 (if ``readable``) are settled
+    here on names, before anything is split. They are listed at ``output/refused``.
+    """
     images = read_images(spark, images_dir)
     texts = read_texts(spark, texts_dir, value=False).select("basename")
-    pairs = materialize(pair(images, texts, config.min_image_bytes), "pairs")
+    unfit = [spark.createDataFrame([], "key string, stage string, error string")]
+    if config.check_geometry:
+        images = materialize(checked_images(read_images(spark, images_dir, content=True)), "images")
+        bad = F.col("reject_reason").isNotNull()
+        unfit.append(error_rows(images.filter(bad), "basename", "geometry", F.col("reject_reason")))
+        images = images.filter(~bad).select("basename", "path", "length")
+    if readable:
+        valid = F.try_validate_utf8("text").isNotNull().alias("valid")
+        texts = materialize(read_texts(spark, texts_dir).select("basename", valid), "texts")
+        refused = texts.filter(~F.col("valid")).join(images, "basename", "left_semi")
+        unfit.append(error_rows(refused, "basename", "text", F.lit("missing text")))
+        texts = texts.filter("valid").select("basename")
+    reduce(DataFrame.unionByName, unfit).write.mode("overwrite").parquet(f"{output}/refused")
+    return materialize(pair(images, texts, config.min_image_bytes), "pairs")
+
+
+def placed_pairs(pairs: DataFrame, shard_size: int, config: PrepConfig) -> DataFrame:
+    """Stored pairs with their split and shard."""
     return split_and_shard(pairs, "basename", shard_size, config.train_ratio, config.shuffle_seed)
 
 
@@ -43,14 +64,15 @@ def _with_text(spark: SparkSession, placed: DataFrame, texts_dir: str) -> DataFr
     return placed.join(texts, "basename")
 
 
-def _with_image(spark: SparkSession, placed: DataFrame, images_dir: str) -> DataFrame:
+def _with_image(spark: SparkSession, placed: DataFrame, images_dir: str, checked: bool = True) -> DataFrame:
     """Image bytes joined on last: they are shuffled once to their row, once to their shard.
 
-    An image without a PNG header is null.
+    If ``checked``, a file that does not begin like an image of any kind is null.
     """
     files = read_images(spark, images_dir, content=True)
-    name = F.concat("basename", F.lit(".png"))
-    image = F.when(png_size(F.col("content")).isNotNull(), image_struct(F.col("content"), name))
+    image = image_struct(F.col("content"), F.concat("basename", F.lit(".png")))
+    if checked:
+        image = F.when(has_image_signature(F.col("content")), image)
     return placed.join(files.select("basename", image.alias("image")), "basename")
 
 
@@ -81,15 +103,15 @@ def _usable(
 def build_flat(
     spark: SparkSession, images_dir: str, texts_dir: str, output: str, config: PrepConfig = PrepConfig()
 ) -> None:
-    """The flat train/test dataset at ``output/data`` and the id manifest at ``output/ids``."""
-    placed = placed_pairs(spark, images_dir, texts_dir, config.chat_shard_size, config)
-    full = _with_image(spark, _with_text(spark, placed, texts_dir), images_dir)
-    _usable(
-        full,
-        ["text", "image"],
-        output,
-        lambda df: sinks.write_flat(flat_sample(df, "split", "split_pos"), f"{output}/data"),
-    )
+    """The flat train/test dataset at ``output/data`` and the id manifest at ``output/ids``.
+
+    Pairs with an unreadable text are left out first, so the split sizes and the ids are those of the rows
+    written. Image bytes pass through as they are.
+    """
+    pairs = _usable_pairs(spark, images_dir, texts_dir, config, output, readable=True)
+    placed = placed_pairs(pairs, config.chat_shard_size, config)
+    full = _with_image(spark, _with_text(spark, placed, texts_dir), images_dir, checked=False)
+    sinks.write_flat(flat_sample(full, "split", "split_pos"), f"{output}/data")
     ids = id_manifest(placed, "basename")
     ids.write.mode("overwrite").parquet(f"{output}/ids")
 
@@ -98,7 +120,8 @@ def build_chat(
     spark: SparkSession, images_dir: str, texts_dir: str, output: str, config: PrepConfig = PrepConfig()
 ) -> None:
     """Chat-message shards at ``output/data``, from the configured shard of each split on."""
-    placed = placed_pairs(spark, images_dir, texts_dir, config.chat_shard_size, config)
+    pairs = _usable_pairs(spark, images_dir, texts_dir, config, output)
+    placed = placed_pairs(pairs, config.chat_shard_size, config)
     placed = resume_shards(placed, config.resume_train_shard, config.resume_test_shard)
     full = _with_image(spark, _with_text(spark, placed, texts_dir), images_dir)
 
@@ -113,7 +136,8 @@ def build_instruction(
     spark: SparkSession, images_dir: str, texts_dir: str, output: str, config: PrepConfig = PrepConfig()
 ) -> None:
     """Instruction JSON lines at ``output/lines`` and the archive lists at ``output/assets``."""
-    placed = placed_pairs(spark, images_dir, texts_dir, config.instruction_shard_size, config)
+    pairs = _usable_pairs(spark, images_dir, texts_dir, config, output)
+    placed = placed_pairs(pairs, config.instruction_shard_size, config)
     placed = resume_shards(placed, config.resume_train_shard, config.resume_test_shard)
 
     def write(df: DataFrame) -> None:

@@ -26,7 +26,7 @@ from glyphmill.operators import splits as S
 from glyphmill.operators.chunks import plan_chunks
 from glyphmill.operators.numbering import positions
 from glyphmill.operators.runlog import error_rows, run_counters
-from glyphmill.session import spread
+from glyphmill.session import dealt
 
 SEED = 42
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,7 +209,7 @@ def decorated(c: Column) -> Column:
 
 
 def clean_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents")).select(
+    return dealt(table(spark, sf_dir, "documents")).select(
         "doc_id", T.clean_markdown(decorated(F.col("text"))).alias("cleaned")
     )
 
@@ -229,7 +229,7 @@ def _spaced(c: Column) -> Column:
 
 
 def collapse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         T.collapse(_spaced(F.col("text"))).alias("collapsed"),
         T.language_of_key(F.col("source")).alias("language"),
@@ -237,20 +237,20 @@ def collapse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reflow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "conversations")).select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", T.reflow(_spaced(F.col("text"))).alias("reflowed")
     )
 
 
 def upper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     without_sharp_s = F.replace(F.col("text"), F.lit("ß"), F.lit("ss"))
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", T.upper_if(F.col("n_chars") % 2 == 0, without_sharp_s).alias("text")
     )
 
 
 def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     stats = docs.select("doc_id", T.line_stats(F.col("text")).alias("s")).select("doc_id", "s.*")
     return _rounded(stats, "mean_line_len", "text_aspect")
 
@@ -271,7 +271,7 @@ def sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def noise_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs kept, of texts with noise and index lines set between theirs."""
     noisy = F.replace(F.col("text"), F.lit("\n"), F.lit("\n. . _ --\n\nPage 12 ................\n"))
-    docs = spread(table(spark, sf_dir, "documents")).filter(F.length("text") >= 200)
+    docs = dealt(table(spark, sf_dir, "documents")).filter(F.length("text") >= 200)
     return docs.select("doc_id", F.posexplode(paragraphs(noisy)).alias("place", "paragraph"))
 
 
@@ -366,7 +366,7 @@ def chunk_blocks_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text as one paragraph."""
     joined = T.strip(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")))
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
+    docs = dealt(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
     long = docs.filter(F.length("p") > 600)
     return long.select("doc_id", F.posexplode_outer(pack_sentences(F.col("p"))).alias("place", "block"))
 
@@ -374,7 +374,7 @@ def sentence_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with most sentence ends taken out, so that words must be packed."""
     joined = T.strip(F.replace(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), F.lit("e. "), F.lit("e ")))
-    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
+    docs = dealt(table(spark, sf_dir, "documents")).select("doc_id", joined.alias("p"))
     long = docs.filter(F.length("p") > 600)
     return long.select("doc_id", F.posexplode_outer(pack_sentences(F.col("p"))).alias("place", "block"))
 
@@ -383,7 +383,7 @@ def word_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents")).select(
+    return dealt(table(spark, sf_dir, "documents")).select(
         (F.col("doc_id") + 1).alias("chunk_no"), F.col("n_chars").cast("int").alias("chars")
     )
 
@@ -504,7 +504,7 @@ def asset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     name = F.concat_ws("_", F.concat("lang", F.lit("x")), "source", F.col("doc_id").cast("string"))
     image = R.image_struct(F.encode("source", "UTF-8"), F.concat(name, F.lit(".png")))
     flat = R.flat_sample(docs.select(name.alias("basename"), "text", image.alias("image")))
@@ -513,7 +513,7 @@ def flat_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chat layout, one row for every part of every turn."""
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     image = R.image_struct(F.encode("source", "UTF-8"), F.concat("source", F.lit(".png")))
     chats = R.chat_sample(docs.select("doc_id", "text", image.alias("image")), "doc_id")
     turns = chats.select(
@@ -537,7 +537,7 @@ def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instruction_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     # Quotes and backslashes aside, JSON text is the same from every writer.
     plain = F.translate("text", '"\\', "''")
     rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("basename"), plain.alias("text"))

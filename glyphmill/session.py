@@ -66,25 +66,9 @@ def release_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A small ``df`` over all task slots of the session; a large one as it is.
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over ``spark.sql.shuffle.partitions`` tasks, whatever its size.
 
-    For work that costs far more than moving its input, like edit distances: a
-    small file is often a single task. Small means that all tables read come to
-    less than one full file split per slot, so what is moved never grows with the
-    data.
+    For work that costs far more than moving its input, like edit distances.
     """
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    split_bytes = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
-    if sum(int(str(size)) for size in sizes) >= slots * split_bytes:
-        return df
-    return df.repartition(slots)
-
-
-def _bytes(size: str) -> int:
-    units = {"k": 1, "m": 2, "g": 3, "t": 4}
-    size = size.strip().lower().removesuffix("b")
-    return int(size[:-1]) * 1024 ** units[size[-1]] if size[-1] in units else int(size)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

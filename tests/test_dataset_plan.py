@@ -138,6 +138,40 @@ def test_unreadable_samples_are_skipped_and_listed(spark, tmp_path):
     assert members == {f"zpo_{i}.png" for i in range(10) if i != 5}
 
 
+def test_flat_splits_what_it_writes(spark, tmp_path):
+    images, texts = tmp_path / "images", tmp_path / "text"
+    images.mkdir()
+    texts.mkdir()
+    for i in range(10):
+        (images / f"zpo_{i}.png").write_bytes(png(300, 300, 20 * 1024) if i != 3 else b"\xff\xd8\xff" + b"x" * 20 * 1024)
+        (texts / f"zpo_{i}.txt").write_bytes(b"fine" if i != 5 else b"\xff\xfe")
+    build_flat(spark, str(images), str(texts), str(tmp_path / "flat"), SMALL)
+    rows = spark.read.parquet(f"{tmp_path}/flat/data").collect()
+    assert {r.id for r in rows} == {f"zpo_{i}" for i in range(10) if i != 5}
+    assert sum(r.split == "test" for r in rows) == 1
+    ids = spark.read.parquet(f"{tmp_path}/flat/ids").collect()
+    assert {r.line for r in ids if r.line_no} == {r.id for r in rows}
+    assert {r.line for r in ids if not r.line_no} == {"--- TRAIN SPLIT | Total: 8 ---", "--- TEST SPLIT | Total: 1 ---"}
+    refused = spark.read.parquet(f"{tmp_path}/flat/refused").collect()
+    assert [tuple(r) for r in refused] == [("zpo_5", "text", "missing text")]
+    build_chat(spark, str(images), str(texts), str(tmp_path / "chat"), SMALL)  # a JPEG by another name is kept
+    assert spark.read.parquet(f"{tmp_path}/chat/data").count() == 9
+
+
+def test_geometry_is_checked_before_the_split(spark, tmp_path):
+    images, texts = tmp_path / "images", tmp_path / "text"
+    images.mkdir()
+    texts.mkdir()
+    for i, (w, h) in enumerate([(300, 300), (199, 300), (1500, 250), (300, 300), (200, 800)]):
+        (images / f"zpo_{i}.png").write_bytes(png(w, h, 20 * 1024))
+        (texts / f"zpo_{i}.txt").write_text("fine")
+    build_instruction(spark, str(images), str(texts), str(tmp_path / "out"), PrepConfig(check_geometry=True))
+    members = {f.arcname for a in spark.read.parquet(f"{tmp_path}/out/assets").collect() for f in a.files}
+    assert members == {"zpo_0.png", "zpo_3.png", "zpo_4.png"}
+    refused = {(r.key, r.error) for r in spark.read.parquet(f"{tmp_path}/out/refused").collect()}
+    assert refused == {("zpo_1", "too small"), ("zpo_2", "too extreme")}
+
+
 def test_instruction_lines_and_assets(spark, folders, tmp_path):
     build_instruction(spark, *folders, str(tmp_path), SMALL)
     assert shard_files(tmp_path / "lines", "json") == [
