@@ -64,13 +64,6 @@ NORMALS: dict[str, Normal] = {
     "apply_wave": Normal(0, 0.4, "bool"),
 }
 
-# Parameters that are configured and never drawn.
-UNUSED_NORMALS: dict[str, Normal] = {
-    "wave_amplitude": Normal(1.5, 0.5, "float"),
-    "wave_frequency": Normal(100, 50, "int"),
-    "extent_padding": Normal(25, 25, "int", 0, 50),
-}
-
 # Weighted choices, as (option, weight).
 CHOICES: dict[str, tuple[tuple[str, float], ...]] = {
     "ar_archetype": (("vertical", 0.2), ("square", 0.2), ("horizontal", 0.6)),

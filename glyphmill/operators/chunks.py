@@ -31,6 +31,7 @@ def plan_chunks(
     limit: int = 0,
     order_by: list[str] | None = None,
     renumber_on_resume: bool = False,
+    numbered_to: tuple[int, int] = (0, 0),
 ) -> DataFrame:
     """Block table ``row_ordinal, id, language, block_idx, chunk_no, block_text``.
 
@@ -40,7 +41,8 @@ def plan_chunks(
 
     Rows up to ``resume_from`` are left out, and ``limit`` stops after that many
     effective rows past them. Chunk numbers are those of an unbroken run;
-    ``renumber_on_resume`` starts them at the first row resumed instead.
+    ``renumber_on_resume`` starts them at the first row resumed instead. ``numbered_to``
+    names a row of an earlier run and the last chunk number up to it: rows up to there are not cut again.
     """
     if order_by:
         rows = stored_in_order(df, order_by, "row_ordinal", start=1)
@@ -49,14 +51,15 @@ def plan_chunks(
         rows = with_defaults(df)
 
     if limit > 0:
-        resumed = rows.filter(F.col("row_ordinal") > resume_from)
-        cut = limit_cut(
-            resumed.filter(is_effective(F.col("id"), F.col("text"))), "row_ordinal", limit
-        )
+        effective = is_effective(F.col("id"), F.col("text"))
+        cut = limit_cut(rows, "row_ordinal", limit, effective, resume_from)
         if cut is not None:
             rows = rows.filter(F.col("row_ordinal") <= cut)
-    if renumber_on_resume:
-        rows = rows.filter(F.col("row_ordinal") > resume_from)
+    known_row, known_chunk = (resume_from, 0) if renumber_on_resume else numbered_to
+    if known_row > resume_from:
+        raise ValueError("chunks are numbered beyond the row to resume from")
+    if known_row > 0:
+        rows = rows.filter(F.col("row_ordinal") > known_row)
 
     if order_by:
         # Already stored in order; this only restores it inside each task.
@@ -81,7 +84,7 @@ def plan_chunks(
         .withColumn(ROW, F.monotonically_increasing_id())
     )
     stored = materialize(blocks, "blocks")
-    numbered = number_runs(stored, [RUN, SPLIT], "row_ordinal", "chunk_no", start=1)
+    numbered = number_runs(stored, [RUN, SPLIT], "row_ordinal", "chunk_no", start=known_chunk + 1)
     if resume_from > 0:
         numbered = numbered.filter(F.col("row_ordinal") > resume_from)
     return numbered.select("row_ordinal", "id", "language", "block_idx", "chunk_no", "block_text")

@@ -52,30 +52,37 @@ def cleaned(text: Column) -> Column:
     return clean_markdown(repair_escapes(text))
 
 
-def limit_cut(df: DataFrame, ordinal: str, n: int) -> int | None:
-    """Ordinal of the n-th row of ``df``; None when it has no more than n rows.
+def limit_cut(df: DataFrame, ordinal: str, n: int, keep: Column | None = None, after: int = -1) -> int | None:
+    """Ordinal of the n-th row past ``after`` for which ``keep`` holds; None when there are fewer.
 
-    Rows are counted per stretch of ordinals, at most 65,536 stretches, and only
-    the stretch holding the n-th row is sorted. Nothing of the rows but one
-    number reaches the driver.
+    Rows are counted in windows of ordinals that double until the n-th row is inside, so little more than
+    what lies before it is read. That window is then counted in at most 65,536 stretches, again and
+    again, until a stretch is one ordinal wide. Single numbers alone reach the driver.
     """
-    last = df.agg(F.max(ordinal)).first()[0]
+    at = F.col(ordinal)
+    past = df.filter(at > after)
+    last = past.agg(F.max(ordinal)).first()[0]  # reads the ordinals alone
     if last is None:
         return None
-    width = max(1, -(-(last + 1) // _CUT_BUCKETS))
-    stretch = F.floor(F.col(ordinal) / width).cast("long")
-    upto = F.sum("_n").over(Window.orderBy("_stretch"))
-    hit = (
-        df.groupBy(stretch.alias("_stretch"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_upto", upto)
-        .filter(F.col("_upto") >= n)
-        .orderBy("_stretch")
-        .first()
-    )
-    if hit is None or (hit["_upto"] == n and hit["_stretch"] == last // width):
-        return None
-    place = n - (hit["_upto"] - hit["_n"])
-    low = hit["_stretch"] * width
-    inside = df.filter((F.col(ordinal) >= low) & (F.col(ordinal) < low + width))
-    return inside.select(ordinal).orderBy(ordinal).offset(place - 1).first()[0]
+    kept = past if keep is None else past.filter(keep)
+    low, width, need = after + 1, max(4 * n, 1000), n
+    while low <= last:
+        inside = kept.filter((at >= low) & (at < low + width))
+        found = inside.count()
+        if found >= need:
+            return _nth(inside, ordinal, need, low, width)
+        low, width, need = low + width, 2 * width, need - found
+    return None
+
+
+def _nth(df: DataFrame, ordinal: str, n: int, low: int, width: int) -> int:
+    """Ordinal of the n-th row of ``df``, whose ordinals fill ``width`` numbers from ``low`` on."""
+    at = F.col(ordinal)
+    while width > 1:
+        step = -(-width // _CUT_BUCKETS)
+        inside = df.filter((at >= low) & (at < low + width))
+        stretches = inside.groupBy(F.floor((at - low) / step).alias("_stretch")).agg(F.count("*").alias("_n"))
+        upto = F.sum("_n").over(Window.orderBy("_stretch"))
+        hit = stretches.withColumn("_upto", upto).filter(F.col("_upto") >= n).orderBy("_stretch").first()
+        low, width, n = low + hit["_stretch"] * step, step, n - (hit["_upto"] - hit["_n"])
+    return low

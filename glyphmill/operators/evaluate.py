@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphmill.functions.metrics import cer, percent, wer
-from glyphmill.session import dealt
+from glyphmill.session import dealt, materialize
 
 # Score label -> column of the system's texts; the first is the baseline.
 SYSTEMS = {"raw": "raw", "ft": "finetuned"}
@@ -16,11 +16,11 @@ DETAIL_ROWS = 20
 ALL_ROWS_UP_TO = 50
 
 
-def with_record_defaults(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
+def with_record_defaults(df: DataFrame, systems: dict[str, str] = SYSTEMS, *keep: str) -> DataFrame:
     """Evaluation records with defaults. A missing column and a null mean the same.
 
     ``ground_truth`` falls back to ``text``, then to empty. ``id`` falls back to
-    the 0-based ``pos``, so a table without ids must bring that column.
+    the 0-based ``pos``, so a table without ids must bring that column. ``keep`` names more columns to pass on.
     """
 
     def first_of(*names: str, default: Column) -> Column:
@@ -33,6 +33,7 @@ def with_record_defaults(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> Da
         first_of("language", default=F.lit("unk")).alias("language"),
         first_of("ground_truth", "text", default=F.lit("")).alias("ground_truth"),
         *[first_of(c, default=F.lit("")).alias(c) for c in systems.values()],
+        *keep,
     )
 
 
@@ -54,6 +55,11 @@ def scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
     )
 
 
+def stored_scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
+    """``scores`` without the texts, stored once for the report and the summary."""
+    return materialize(scores(df, systems).drop("ground_truth", *systems.values()), "scores")
+
+
 def _improvements(systems: dict[str, str]) -> list[tuple[str, str, str]]:
     base, *others = systems
     if len(others) == 1:
@@ -92,13 +98,12 @@ def is_detail_row(pos: Column, n: int) -> Column:
     return (pos % (n // DETAIL_ROWS) == 0) | (pos == n - 1)
 
 
-def report(records: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
+def report(scored: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
     """The printed table: chosen rows in order of ``row_no``, then the AVERAGE row.
 
-    ``records`` carry their 0-based ``pos``. Only the rows shown are scored for
-    the detail part; the averages are over all of them.
+    ``scored`` is stored and its rows carry their 0-based ``pos``.
     """
-    n = records.count()
+    n = scored.count()
     rates = [f"{s}_{m}" for m in ("cer", "wer") for s in systems]
     gains = _improvements(systems)
 
@@ -111,8 +116,8 @@ def report(records: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
             *[percent(F.col(name), signed=True).alias(name) for _, _, name in gains],
         )
 
-    detail = scores(records.filter(is_detail_row(F.col("pos"), n)), systems)
-    average = averages(scores(records, systems), systems).withColumns(
+    detail = scored.filter(is_detail_row(F.col("pos"), n))
+    average = averages(scored, systems).withColumns(
         {name: F.col(f"{b}_cer") - F.col(f"{s}_cer") for b, s, name in gains}
     )
     return printed(detail.withColumn("row_no", F.col("pos").cast("long"))).unionByName(
@@ -185,6 +190,11 @@ def row_at(df: DataFrame, at: int, pos: str = "pos") -> DataFrame:
     return df.filter(F.col(pos) == at)
 
 
+def with_content(places: DataFrame, df: DataFrame, key: list[str]) -> DataFrame:
+    """The other columns of ``df`` for a few rows found by position: places are numbered on keys alone."""
+    return places.join(df.drop(*[c for c in places.columns if c not in key]), key)
+
+
 def evaluate(
     df: DataFrame, systems: dict[str, str] | None = None
 ) -> tuple[DataFrame, DataFrame]:

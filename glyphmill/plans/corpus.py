@@ -28,16 +28,17 @@ def build_manifest(
     earlier runs wrote up to it and replaces what later ones did, so a limited run
     and its continuation make one full run, however often they are repeated.
     """
-    counters_at = f"{output}/counters"
+    counters_at, numbered_to = f"{output}/counters", (0, 0)
     if any(run < resume_from for run in stored_runs(spark, counters_at)):
         earlier = spark.read.parquet(counters_at).filter(F.col("run") < resume_from)
-        past = earlier.agg(F.max("last_row")).first()[0]
-        if past is not None and past > resume_from:
-            raise ValueError(f"an earlier run went to row {past}: resume from there, or from one of its starts")
+        past = earlier.agg(F.max(F.struct("last_row", "last_chunk")).alias("at")).select("at.*").first()
+        if past.last_row is not None and past.last_row > resume_from:
+            raise ValueError(f"an earlier run went to row {past.last_row}: resume from there, or from one of its starts")
+        numbered_to = (past.last_row or 0, past.last_chunk or 0)
     rows = read_corpus(spark, corpus) if isinstance(corpus, str) else corpus
-    blocks = plan_chunks(rows, seed, resume_from, limit, order_by)
+    blocks = plan_chunks(rows, seed, resume_from, limit, order_by, numbered_to=numbered_to)
     counted, seen = observed(
-        blocks, "blocks", chunks=F.count(F.lit(1)), last_row=F.max("row_ordinal")
+        blocks, "blocks", chunks=F.count(F.lit(1)), last_row=F.max("row_ordinal"), last_chunk=F.max("chunk_no")
     )
     manifest, kept = observed(render_manifest(counted, seed), "manifest", accepted=F.count(F.lit(1)))
     write_run(manifest, f"{output}/manifest", resume_from)
@@ -49,6 +50,7 @@ def build_manifest(
     if counters["accepted"] == counters["chunks"]:
         refused = refused.limit(0)  # nothing to look for, but an older table must go
     write_run(error_rows(refused, "chunk_no", "size", F.col("reject_reason")), f"{output}/rejected", resume_from)
-    row = [tuple(counters[k] for k in ("chunks", "last_row", "accepted"))]
-    write_run(spark.createDataFrame(row, "chunks long, last_row long, accepted long"), counters_at, resume_from)
+    row = [tuple(counters[k] for k in ("chunks", "last_row", "last_chunk", "accepted"))]
+    figures = spark.createDataFrame(row, "chunks long, last_row long, last_chunk long, accepted long")
+    write_run(figures, counters_at, resume_from)
     return counters

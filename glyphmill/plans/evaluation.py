@@ -12,15 +12,18 @@ from glyphmill.sources.sinks import write_records
 def evaluate_file(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """The printed table and the summary lines of a JSON file of records."""
     records = E.with_record_defaults(read_records(spark, path))
-    return E.report(records), E.summary_lines(E.summary(E.scores(records)))
+    scored = E.stored_scores(records)
+    return E.report(scored), E.summary_lines(E.summary(scored))
 
 
 def compare_systems(
     truth: DataFrame, predictions: dict[str, DataFrame], export: str | None = None
 ) -> DataFrame:
-    """Scores of joined predictions; the joined texts are exported on the way if asked."""
+    """Scores of joined predictions; the joined texts are exported first if asked, and then read from there."""
     systems = {name: name for name in predictions}
     joined = E.with_record_defaults(E.join_predictions(truth, predictions), systems)
     if export:
-        write_records(E.export_columns(joined, systems), export)
+        columns = E.export_columns(joined, systems)
+        write_records(columns, export)
+        joined = truth.sparkSession.read.schema(columns.schema).json(export)
     return E.scores(joined, systems)

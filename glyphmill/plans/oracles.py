@@ -233,7 +233,7 @@ SELECT d.doc_id AS pos,
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
 _BY_LANG = "SELECT row_number() OVER (ORDER BY lang, doc_id) - 1 AS pos, doc_id, lang, text FROM documents"
-FIRST_ROWS = f"SELECT * FROM ({_BY_LANG}) WHERE pos < 2000"
+FIRST_ROWS = f"SELECT * FROM ({_BY_LANG}) WHERE pos < 600"
 ROW_AT = f"SELECT * FROM ({_BY_LANG}) WHERE pos = 20"
 
 # --- text ---------------------------------------------------------------------

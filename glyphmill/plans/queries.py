@@ -107,9 +107,11 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def eval_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = positions(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
-    records = _records(turns, F.concat_ws("-", "conv_id", "turn"), F.col("role"), "pos")
-    return E.report(E.with_record_defaults(records))
+    """Scored first, so that rows without their texts are put in order."""
+    turns = table(spark, sf_dir, "conversations")
+    records = _records(turns, F.concat_ws("-", "conv_id", "turn"), F.col("role"), "conv_id", "turn")
+    scored = E.stored_scores(E.with_record_defaults(records, E.SYSTEMS, "conv_id", "turn"))
+    return E.report(positions(scored, ["conv_id", "turn"]))
 
 
 def eval_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,14 +185,20 @@ def record_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _places_by_lang(docs: DataFrame) -> DataFrame:
+    return positions(docs.select("lang", "doc_id"), ["lang", "doc_id"])
+
+
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = positions(table(spark, sf_dir, "documents"), ["lang", "doc_id"])
-    return E.first_rows(docs, 2000).select("pos", "doc_id", "lang", "text")
+    docs = table(spark, sf_dir, "documents")
+    first = E.first_rows(_places_by_lang(docs), 600)
+    return E.with_content(first, docs, ["doc_id"]).select("pos", "doc_id", "lang", "text")
 
 
 def row_at(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = positions(table(spark, sf_dir, "documents"), ["lang", "doc_id"])
-    return E.row_at(docs, 20).select("pos", "doc_id", "lang", "text")
+    docs = table(spark, sf_dir, "documents")
+    row = E.row_at(_places_by_lang(docs), 20)
+    return E.with_content(row, docs, ["doc_id"]).select("pos", "doc_id", "lang", "text")
 
 
 # --- text ---------------------------------------------------------------------
@@ -292,9 +300,10 @@ def exclude_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_and_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    effective = C.is_effective(F.col("id"), F.col("text"))
     rows = _worded(spark, sf_dir)
-    rows = rows.filter((F.col("row_ordinal") > 50) & C.is_effective(F.col("id"), F.col("text")))
-    cut = C.limit_cut(rows, "row_ordinal", 120)
+    cut = C.limit_cut(rows, "row_ordinal", 120, effective, after=50)
+    rows = rows.filter((F.col("row_ordinal") > 50) & effective)
     rows = rows if cut is None else rows.filter(F.col("row_ordinal") <= cut)
     return rows.select("row_ordinal", "id")
 
