@@ -121,3 +121,25 @@ def test_duplicate_predictions_score_once(spark):
     twice = spark.createDataFrame([("a", "abd"), ("a", "abc")], "id string, text string")
     joined = E.join_predictions(truth, {"raw": twice, "finetuned": twice})
     assert [(r.raw, r.finetuned) for r in joined.collect()] == [("abc", "abc")]
+
+
+def test_eval_documents_matches_the_full_table(spark, tmp_path):
+    # Its SQL would need the whole table of every long text, so brute force on a few stands in.
+    from glyphmill.plans.queries import FT_EDITS, RAW_EDITS, eval_documents
+
+    texts = ["", "the nation de la é er the end", "ê und er de tion " * 30, " a\n　b ", "de " * 40 + "the er"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def edited(text, edits):
+        for old, new in edits:
+            text = text.replace(old, new)
+        return text
+
+    got = {r.id: r for r in eval_documents(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        for label, edits in (("raw", RAW_EDITS), ("ft", FT_EDITS)):
+            other = edited(t, edits)
+            assert got[str(i)][f"{label}_cer"] == pytest.approx(rate(t, other))
+            assert got[str(i)][f"{label}_wer"] == pytest.approx(rate(t.split(), other.split()))

@@ -140,6 +140,12 @@ def test_limit_cut(spark):
     assert C.limit_cut(rows, "o", 333) is None or C.limit_cut(rows, "o", 333) == 999
     assert C.limit_cut(rows, "o", 334) is None
     assert C.limit_cut(rows.filter("o < 0"), "o", 5) is None
+    far = spark.range(1, 400_000).withColumnRenamed("id", "o")
+    rare = F.col("o") % 1000 == 7
+    assert C.limit_cut(far, "o", 3, rare, after=7) == 3007
+    assert C.limit_cut(far, "o", 399, rare) == 398_007
+    assert C.limit_cut(far, "o", 401, rare) is None
+    assert C.limit_cut(far, "o", 1, F.col("o") == 399_999) == 399_999
 
 
 def test_excluded_ids(spark):
