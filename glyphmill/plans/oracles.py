@@ -274,7 +274,7 @@ SELECT d.doc_id, n::INTEGER AS line_count, round(total::DOUBLE / n, 9) AS mean_l
        round(total::DOUBLE / n / n, 9) AS text_aspect
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id"""
 SAMPLE_KEYS = """SELECT doc_id, regexp_replace(
-  lang || '_' || source || ' é/' || doc_id || ' é/' || substr(text, 1, 12) || '_'
+  lang || '_' || source || ' é/' || doc_id || ' é/' || text || '_'
     || printf('%03d', doc_id % 1200 + 1) || '_' || trunc((n_chars % 250) / 100 * 100)::INTEGER || 'ar',
   '[^\\p{L}\\p{N}_.\\-]', '_', 'g') AS basename FROM documents"""
 

@@ -265,7 +265,7 @@ def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys from ids with spaces, slashes and accents in them."""
-    row_id = F.concat_ws(" é/", "source", F.col("doc_id").cast("string"), F.substring("text", 1, 12))
+    row_id = F.concat_ws(" é/", "source", F.col("doc_id").cast("string"), "text")
     block = (F.col("doc_id") % 1200 + 1).cast("int")
     ratio = (F.col("n_chars") % 250) / 100
     return table(spark, sf_dir, "documents").select(
