@@ -12,10 +12,16 @@ pages of a hot host meet only in partial sums. The template of a host is one sma
 that at least half of its pages have) and is joined back to its pages. Hosts of few
 pages use the template of all hosts.
 
-A slot is main text by the elements of the template that enclose it: in an ``article`` or
-``main`` if the page has one, otherwise in the body where a slot is not mostly links and its text is not itself
-part of the template; never inside navigation, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles or comments.
+A block whose text is part of the template is never main text, inside ``article`` and ``main``
+either. What is left is judged by its slot: the skeleton tokens it lies between, the nested tag it
+follows (the slots after one nested tag are one role) and the doubtful element around it. The tag
+lists come second. Elements with the tag, the role or the whole class name of navigation, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles or comments are out. A listed word that is but a part
+of a class name (``post-header``), or a ``header`` inside ``article`` or ``main``, is doubtful: its texts
+that vary are kept unless their slot is mostly links; on hosts too small to tell, only inside
+``article`` or ``main``. Pages with ``article`` or ``main`` give what is inside, the others what is not mostly links.
+
+If all that an ``article`` or ``main`` holds is template, as on a host of copies of one page, it is kept.
 
 Results for odd input: null and empty pages give empty text; unclosed elements end with the
 element around them; a page without any tag is text; rows that repeat an id are rows of their own.
@@ -74,24 +80,36 @@ _WORD = re.compile(r"[a-z0-9]+")
 class Token:
     """A tag, or a piece of text between tags."""
 
-    __slots__ = ("kind", "name", "key", "text", "excluded")
+    __slots__ = ("kind", "name", "key", "text", "excluded", "doubtful", "listed")
 
-    def __init__(self, kind: str, name: str, key: str, text: str = "", excluded: bool = False) -> None:
+    def __init__(
+        self, kind: str, name: str, key: str, text: str = "", excluded: bool = False, doubtful: str = "",
+        listed: bool = False,
+    ) -> None:
         self.kind, self.name, self.key, self.text, self.excluded = kind, name, key, text, excluded
+        self.doubtful = doubtful  # key of the nearest element that only a part of its class name speaks against
+        self.listed = listed  # excluded by its role or whole class name, not just its tag
+
+
+class Block:
+    """The text between two block-level tags, outside excluded elements."""
+
+    __slots__ = ("text", "in_main", "doubtful", "chars", "linked")
+
+    def __init__(self, text: str, in_main: bool, doubtful: str, chars: int, linked: int) -> None:
+        self.text, self.in_main, self.doubtful, self.chars, self.linked = text, in_main, doubtful, chars, linked
 
 
 def _opening(name: str, attrs: str) -> Token:
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attrs)}
-    marks = f"{found.get('class', '')} {found.get('id', '')}"
-    excluded = name in EXCLUDED_TAGS or (
-        name not in ROOTS
-        and (
-            found.get("role") in EXCLUDED_ROLES
-            or "hidden" in found
-            or not EXCLUDED_WORDS.isdisjoint(_WORD.findall(marks))
-        )
+    marks = f"{found.get('class', '')} {found.get('id', '')}".split()
+    listed = name not in ROOTS and (
+        found.get("role") in EXCLUDED_ROLES or "hidden" in found or not EXCLUDED_WORDS.isdisjoint(marks)
     )
-    return Token("open", name, f"<{name} {' '.join(sorted(set(marks.split())))}".rstrip() + ">", "", excluded)
+    key = f"<{name} {' '.join(sorted(set(marks)))}".rstrip() + ">"
+    partly = name not in ROOTS and not EXCLUDED_WORDS.isdisjoint(_WORD.findall(" ".join(marks)))
+    listed |= partly and name in INLINE  # no block of its own that a template could judge
+    return Token("open", name, key, "", listed or name in EXCLUDED_TAGS, key if partly and not listed else "", listed)
 
 
 def tokens(page: str) -> Iterator[Token]:
@@ -190,68 +208,108 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialize(own, "templates"), materialize(general, "template")
 
 
-class Slot:
-    """The blocks between two template tokens."""
-
-    __slots__ = ("blocks", "chars", "linked")
+def layout(page: str | None) -> Iterator[Token | Block]:
+    """The tags of a page and its blocks, each block before the tag that ends it."""
+    stack: list[Token] = []
+    buffer: list[str] = []
+    chars = linked = 0
 
-    def __init__(self) -> None:
-        self.blocks: list[tuple[bool, str, bool]] = []  # in main element, text, part of the template
-        self.chars = self.linked = 0
-
-
-def main_text(page: str | None, skeleton: frozenset[str], common: frozenset[str]) -> str:
-    """The text of the main slots; ``skeleton`` and ``common`` are the template's tags and texts."""
-    slots, stack, buffer = [Slot()], [], []
-    has_main = False
-
-    def flush() -> None:
+    def block() -> Iterator[Block]:
+        nonlocal chars, linked
         text = " ".join(html.unescape("".join(buffer)).split())
-        buffer.clear()
         if text:
-            slots[-1].blocks.append((any(t.name in MAIN for t in stack), text, text in common))
+            doubtful = stack[-1].doubtful if stack else ""
+            yield Block(text, any(t.name in MAIN for t in stack), doubtful, chars, linked)
+        buffer.clear()
+        chars = linked = 0
 
     for token in tokens(page or ""):
         if token.kind == "text":
             if not (stack and stack[-1].excluded):
                 buffer.append(token.text)
-                size = len(token.key)
-                slots[-1].chars += size
-                slots[-1].linked += size if any(t.name == "a" for t in stack) else 0
+                chars += len(token.key)
+                linked += len(token.key) if any(t.name == "a" for t in stack) else 0
             continue
         if token.name not in INLINE:
-            flush()
-            if token.key in skeleton:
-                slots.append(Slot())
+            yield from block()
         if token.kind == "open":
-            if token.name in VOID:
-                continue
-            if token.name in SELF_CLOSING and stack and stack[-1].name == token.name:
-                stack.pop()
-            if stack and stack[-1].excluded:
-                token.excluded = True  # what is inside is excluded with it
-            stack.append(token)
-            has_main |= token.name in MAIN and not token.excluded
+            if token.name not in VOID:
+                if token.name in SELF_CLOSING and stack and stack[-1].name == token.name:
+                    stack.pop()
+                if token.name == "header" and not token.listed and any(t.name in MAIN for t in stack):
+                    token.excluded, token.doubtful = False, token.key
+                if stack:
+                    token.excluded |= stack[-1].excluded  # what is inside is excluded with it
+                    token.doubtful = token.doubtful or stack[-1].doubtful
+                stack.append(token)
         elif any(t.name == token.name for t in stack):
             while stack.pop().name != token.name:
                 pass
-    flush()
-    kept = []
-    for slot in slots:
+        yield token
+    yield from block()
+
+
+class Slot:
+    """How much text a slot of a page holds, and how much of it is links."""
+
+    __slots__ = ("chars", "linked")
+
+    def __init__(self) -> None:
+        self.chars = self.linked = 0
+
+
+class Template:
+    """The tags that occur once a page, the repeated ones nested between them, the texts of the template."""
+
+    __slots__ = ("skeleton", "nested", "common", "judged")
+
+    def __init__(
+        self, skeleton: frozenset[str] = frozenset(), nested: frozenset[str] = frozenset(),
+        common: frozenset[str] = frozenset(), judged: bool = False,
+    ) -> None:
+        self.skeleton, self.nested, self.common = skeleton, nested, common
+        self.judged = judged  # whether the host has pages enough to tell common texts
+
+
+def main_text(page: str | None, template: Template) -> str:
+    """The text of the main slots."""
+    slots: dict[tuple[int, str, str], Slot] = {}
+    blocks: list[tuple[Slot, Block]] = []
+    has_main, place, inner = False, 0, ""
+    for part in layout(page):
+        if isinstance(part, Token):
+            has_main |= part.kind == "open" and part.name in MAIN and not part.excluded
+            if part.name not in INLINE:
+                if part.key in template.skeleton:
+                    place, inner = place + 1, ""
+                elif part.key in template.nested:
+                    inner = part.key
+            continue
+        slot = slots.setdefault((place, inner, part.doubtful), Slot())
+        slot.chars += part.chars
+        slot.linked += part.linked
+        blocks.append((slot, part))
+
+    def eligible(slot: Slot, block: Block) -> bool:
         mostly_links = slot.linked * 2 > slot.chars
-        for in_main, text, repeated in slot.blocks:
-            if in_main if has_main else not (mostly_links or repeated):
-                kept.append(text)
-    return "\n".join(kept)
+        if block.doubtful and (mostly_links or not (block.in_main or template.judged)):
+            return False
+        return block.in_main if has_main else not mostly_links
+
+    kept = [block.text for slot, block in blocks if eligible(slot, block)]
+    own = [text for text in kept if text not in template.common]
+    return "\n".join(own if own or not has_main else kept)
 
 
 def _extract(batches: Iterable[pa.RecordBatch], general: list[tuple[str, bool, bool]], pages: int):
-    parts: dict[tuple, tuple[frozenset[str], frozenset[str]]] = {}
+    parts: dict[tuple, Template] = {}
 
-    def template(size: int | None, found: list[tuple[str, bool, bool]]) -> tuple[frozenset[str], frozenset[str]]:
+    def template(size: int | None, found: list[tuple[str, bool, bool]]) -> Template:
         skeleton = frozenset(t for t, once, _ in found if once and t.startswith("<"))
+        nested = frozenset(t for t, once, _ in found if not once and t.startswith("<"))
         texts = frozenset(t for t, once, everywhere in found if everywhere and not t.startswith("<"))
-        return skeleton, texts if (size or 0) >= TEXT_PAGES else frozenset()
+        judged = (size or 0) >= TEXT_PAGES
+        return Template(skeleton, nested, texts if judged else frozenset(), judged)
 
     fallback = template(pages, general)
     for whole in batches:
@@ -267,7 +325,7 @@ def _extract(batches: Iterable[pa.RecordBatch], general: list[tuple[str, bool, b
                         if len(parts) > 1000:
                             parts.clear()
                         own = parts[key] = template(size, list(key))
-                texts.append(main_text(page, *own))
+                texts.append(main_text(page, own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"]
             )

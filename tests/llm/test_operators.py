@@ -181,6 +181,21 @@ def test_html_extraction(spark):
     assert got == Counter([*want, (30, ""), (31, ""), (32, "no tags at all"), (32, "no tags at all")])
 
 
+def test_html_template_decides_inside_article(spark):
+    page = (
+        "<html><head><title>T</title></head><body><nav><a href=x>Menu</a></nav><article><header><h1>Head {0}</h1></header>"
+        "<div class='strip'>Members read more</div><div class='post-header'>By author {0}<p>All rights reserved</p></div>"
+        "<div class='has-sidebar'><p>Own {0}</p><p>More {0}</p></div><div class='related-posts'><ul>"
+        "<li><a href=a>Other {0}</a></li><li><a href=b>Another {0}</a></li></ul></div></article></body></html>"
+    )
+    copy = "<body><article><p>One article</p><p>under many addresses</p></article><footer>me</footer></body>"
+    rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(10)]
+    rows += [(20 + i, f"http://b.org/{i}", copy) for i in range(10)]
+    got = {r.id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: f"Head {i}\nBy author {i}\nOwn {i}\nMore {i}" for i in range(10)}
+    assert got == {**want, **{20 + i: "One article\nunder many addresses" for i in range(10)}}
+
+
 def test_url_rules_and_models(spark):
     rules = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block")]
     good = [(i, f"http://good{i % 7}.com/aaa/{i}") for i in range(60)]
