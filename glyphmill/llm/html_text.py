@@ -1,6 +1,7 @@
 """Main text of web pages by template deduction from equivalence classes of tokens.
 
-A page is a sequence of tokens: tags, told apart by name, class and id, and short pieces of text.
+A page is a sequence of tokens: tags, told apart by name, class and id, and blocks of text outside
+excluded elements, of any length, by their digest.
 Tokens of a host that occur equally often on each of its pages, page by page, share their
 occurrence vector and make one equivalence class. Classes of enough tokens on enough pages are
 valid; their tokens are put in the order of their mean first place. Those that occur once a page are
@@ -10,7 +11,9 @@ the slots with the page's own text.
 Vectors are never gathered: a grouped exclusive or of hashes of (page, count) stands for one, so the
 pages of a hot host meet only in partial sums. The template of a host is one small row (tokens
 that at least half of its pages have) and is joined back to its pages. Hosts of few
-pages use the template of all hosts.
+pages use the template of all hosts. A text of a valid class is template if ``TEXT_SHARE`` of the pages
+have it; hosts of fewer than ``TEXT_PAGES`` pages, too few to tell, take the common texts of all hosts.
+Pages without any token (null, empty) count nowhere.
 
 A block whose text is part of the template is never main text, inside ``article`` and ``main``
 either. What is left is judged by its slot: the skeleton tokens it lies between, the nested tag it
@@ -32,6 +35,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,7 +69,7 @@ EXCLUDED_WORDS = frozenset(
 MIN_PAGES = 4  # of a host with a template of its own
 TEXT_PAGES = 8  # of a host whose common texts count as template
 MIN_CLASS = 3
-SHORT_TEXT = 200
+TEXT_SHARE = 0.75  # of the pages of a host that have a text which is template
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -138,17 +142,24 @@ def tokens(page: str) -> Iterator[Token]:
             yield Token("close", name, f"</{name}>")
 
 
+def digest(text: str) -> str:
+    """The token of a block's text; tags begin otherwise."""
+    return "#" + blake2b(text.encode(errors="surrogatepass"), digest_size=16).hexdigest()
+
+
 def _token_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``page, host, token, n, place`` of each token of each page; texts as far as they are short."""
+    """``page, host, token, n, place`` of each token of each page, and one row of an empty token for the page."""
     for whole in batches:
         for start in range(0, whole.num_rows, 256):
             batch = whole.slice(start, 256)
             rows: tuple[list, ...] = ([], [], [], [], [])
             for page, host, text in zip(*(c.to_pylist() for c in batch.columns)):
                 seen: dict[str, list[int]] = {}
-                for place, token in enumerate(tokens(text or "")):
-                    if token.key and (token.kind != "text" or len(token.key) <= SHORT_TEXT):
-                        seen.setdefault(token.key, [0, place])[0] += 1
+                for place, part in enumerate(layout(text)):
+                    key = part.key if isinstance(part, Token) else digest(part.text)
+                    seen.setdefault(key, [0, place])[0] += 1
+                if seen:
+                    seen[""] = [1, 0]
                 for key, (n, place) in seen.items():
                     for column, value in zip(rows, (page, host, key, n, place)):
                         column.append(value)
@@ -166,15 +177,14 @@ def _classes(vectors: DataFrame, keys: list[str]) -> DataFrame:
     classes = frequent.groupBy(*keys, "vector", "pages", "total", "size").agg(
         F.array_sort(F.collect_list(F.struct("place", "token"))).alias("members")
     )
-    valid = classes.filter(
-        (F.size("members") >= MIN_CLASS) | (F.col("pages") == F.col("size")) & (F.col("size") >= MIN_CLASS)
-    )
+    usual = F.col("pages") >= F.col("size") * TEXT_SHARE
+    valid = classes.filter((F.size("members") >= MIN_CLASS) | usual & (F.col("size") >= MIN_CLASS))
     token = F.transform(
         "members",
         lambda m: F.struct(
             m["place"].alias("place"), m["token"].alias("token"),
             (F.col("pages") == F.col("total")).alias("once"),
-            (F.col("pages") == F.col("size")).alias("everywhere"),
+            usual.alias("usual"),
         ),
     )
     return valid.groupBy(*keys, "size").agg(F.array_sort(F.flatten(F.collect_list(token))).alias("template"))
@@ -184,13 +194,14 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``host, size, template`` of the hosts of ``page, host, html``, and the one of all hosts."""
     rows = pages.mapInArrow(_token_rows, "page long, host string, token string, n long, place long")
     vector = F.bit_xor(F.xxhash64("page", "n")).alias("vector")
-    by_host = materialize(
+    vectors = materialize(
         rows.groupBy("host", "token").agg(
             F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum("place").alias("places"), vector
         ),
         "html-vectors",
     )
-    sizes = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("size")), "host-sizes")
+    sizes = materialize(vectors.filter("token = ''").select("host", F.col("pages").alias("size")), "host-sizes")
+    by_host = vectors.filter("token <> ''")
     place = (F.col("places") / F.col("pages")).alias("place")
     own = _classes(
         by_host.select("host", "token", "pages", "total", "vector", place).join(
@@ -297,7 +308,7 @@ def main_text(page: str | None, template: Template) -> str:
         return block.in_main if has_main else not mostly_links
 
     kept = [block.text for slot, block in blocks if eligible(slot, block)]
-    own = [text for text in kept if text not in template.common]
+    own = [text for text in kept if not template.common or digest(text) not in template.common]
     return "\n".join(own if own or not has_main else kept)
 
 
@@ -307,11 +318,14 @@ def _extract(batches: Iterable[pa.RecordBatch], general: list[tuple[str, bool, b
     def template(size: int | None, found: list[tuple[str, bool, bool]]) -> Template:
         skeleton = frozenset(t for t, once, _ in found if once and t.startswith("<"))
         nested = frozenset(t for t, once, _ in found if not once and t.startswith("<"))
-        texts = frozenset(t for t, once, everywhere in found if everywhere and not t.startswith("<"))
         judged = (size or 0) >= TEXT_PAGES
-        return Template(skeleton, nested, texts if judged else frozenset(), judged)
+        texts = frozenset(t for t, _, usual in found if usual and not t.startswith("<"))
+        return Template(skeleton, nested, texts if judged else shared_texts, judged)
 
+    shared_texts: frozenset[str] = frozenset()
     fallback = template(pages, general)
+    shared_texts = fallback.common  # of hosts of few pages
+    fallback.judged = False  # the pages of the host itself are too few
     for whole in batches:
         for start in range(0, whole.num_rows, 256):
             batch = whole.slice(start, 256)
@@ -320,11 +334,12 @@ def _extract(batches: Iterable[pa.RecordBatch], general: list[tuple[str, bool, b
                 if found is None:
                     own = fallback
                 else:
-                    key = tuple((x["token"], x["once"], x["everywhere"]) for x in found)
+                    tokens_found = tuple((x["token"], x["once"], x["usual"]) for x in found)
+                    key = size >= TEXT_PAGES, tokens_found
                     if (own := parts.get(key)) is None:
                         if len(parts) > 1000:
                             parts.clear()
-                        own = parts[key] = template(size, list(key))
+                        own = parts[key] = template(size, list(tokens_found))
                 texts.append(main_text(page, own))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"]
@@ -343,7 +358,7 @@ def extract(
     page = F.xxhash64("id", "url", "html").alias("page")
     own, general = templates(narrow.select(page, "host", "html"))
     first = general.first()  # of bounded size, like every template
-    shared = [(x["token"], x["once"], x["everywhere"]) for x in first["template"]] if first else []
+    shared = [(x["token"], x["once"], x["usual"]) for x in first["template"]] if first else []
     size = first["size"] if first else 0
     joined = narrow.join(own, "host", "left").select("id", "url", "html", "size", "template")
     return joined.mapInArrow(lambda batches: _extract(batches, shared, size), "id long, url string, text string")

@@ -196,6 +196,18 @@ def test_html_template_decides_inside_article(spark):
     assert got == {**want, **{20 + i: "One article\nunder many addresses" for i in range(10)}}
 
 
+def test_html_template_texts_of_any_length_on_most_pages(spark):
+    notice = "Long notice that is on every page but one. " * 8
+    page = (
+        "<body><div class='top'>Common words</div><p>Own {0}</p><p>" + notice + "</p>"
+        "<div>With <b>marked</b> words</div></body>"
+    )
+    rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(12)]
+    rows += [(20, "http://a.org/20", None), (21, "http://a.org/21", ""), (22, "http://a.org/22", "<p>odd page</p>")]
+    got = {r.id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"Own {i}" for i in range(12)}, 20: "", 21: "", 22: "odd page"}
+
+
 def test_url_rules_and_models(spark):
     rules = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block")]
     good = [(i, f"http://good{i % 7}.com/aaa/{i}") for i in range(60)]
