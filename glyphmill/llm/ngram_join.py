@@ -8,8 +8,10 @@ Two sets link when their Jaccard similarity is at least ``percent / 100``.
    of n. The shingles are dealt into more parts than that by a hash, with one number of parts
    for a band of sizes (a power of two), so linked sets have a part in common that is equal in
    both. D + 1 parts and some spare ones for empty parts are enough; a set with more empty parts
-   than spares is dealt anew under the next seed as well. Sets near the upper end of a band
-   send the parts of the next band too. The documents with an equal part are a tile.
+   than spares is dealt anew under the next seed as well. That is counted over the fewer parts of
+   each smaller set it may link with too, so whichever of two linked sets stops first has a part in
+   common with the other. Sets near the upper end of a band send the parts of the next band too.
+   The documents with an equal part are a tile.
 3. **Bitmaps.** A 512-bit parity bitmap of each set: two bitmaps differ in at most as many bits
    as the sets do in shingles, which bounds the overlap from above. Pairs within the bound are
    held to that of a wider bitmap, and what is left is compared by intersecting the sorted arrays.
@@ -26,7 +28,7 @@ stand as one document with the set of the row whose digest is least.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache, reduce
+from functools import cache, lru_cache, reduce
 from math import exp
 
 import numpy as np
@@ -126,6 +128,15 @@ def _spare(d: int, percent: int) -> int:
     return int(d * _spare_share(percent)) + 3
 
 
+@lru_cache(maxsize=256)
+def _prefixes(n: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """First parts, and spare ones among them, of a set of ``n`` and of each smaller set it may link with."""
+    least = max(1, most_apart(-(-n * percent // 100), percent))
+    apart = range(least, most_apart(n, percent) + 1)
+    spares = np.array([_spare(d, percent) for d in apart])
+    return np.array(apart) + 1 + spares, spares
+
+
 def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the parts that a set sends; two linked, unequal sets have one in common."""
     n = len(shingles)
@@ -133,10 +144,11 @@ def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
     if apart == 0:  # only equal sets link
         return np.empty(0, np.uint64)
     band, keys = n.bit_length(), []
+    firsts, spares = _prefixes(n, percent)
+    first = firsts[-1]
     for scheme in {band, (n * 100 // percent).bit_length()}:
         widest = most_apart(2**scheme - 1, percent)
         parts = widest + 1 + _spare(widest, percent)
-        first, spare = apart + 1 + _spare(apart, percent), _spare(apart, percent)
         for seed in range(SEEDS):
             salt = _mix(np.array([scheme << 32 | seed], np.uint64))[0]
             dealt = _mix(shingles ^ salt)
@@ -146,7 +158,8 @@ def tile_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
             order = np.argsort(part, kind="stable")
             part, dealt = part[order], dealt[order]
             heads = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else part
-            good = first - len(heads) <= spare
+            filled = np.searchsorted(part[heads], firsts.astype(np.uint64))
+            good = (firsts - filled <= spares).all()
             if len(heads):
                 sums = np.add.reduceat(_mix(dealt * _MIX_2), heads)
                 keys.append(_mix(sums ^ _mix(part[heads] + salt)))

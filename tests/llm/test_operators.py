@@ -75,6 +75,13 @@ def test_tile_keys_of_linked_sets_meet():
                 assert set(ngram_join.tile_keys(a, percent)) & set(ngram_join.tile_keys(b, percent))
 
 
+def test_tile_keys_meet_whichever_set_stops_first():
+    for seed in (3170, 3655, 9123, 10249):  # the larger set was good where the smaller had too many empty parts
+        larger = np.unique(np.random.default_rng(seed).integers(0, 2**63, 16, dtype=np.uint64))
+        smaller = np.sort(np.random.default_rng(seed).permutation(larger)[:13])
+        assert set(ngram_join.tile_keys(smaller, 80)) & set(ngram_join.tile_keys(larger, 80))
+
+
 def test_line_dedup(docs):
     holders = {}
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
