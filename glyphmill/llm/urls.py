@@ -4,6 +4,7 @@ The rules' verdicts are the training labels: accepted and rejected URLs each giv
 variable order. A character's probability mixes the counts after its last five, four, ... no
 characters, each order leaning on the next lower one where it has seen little. The score is the
 mean over the characters of the log ratio of the two models, so long URLs are judged like short ones.
+The characters are those of the whole URL, with scheme and host lower-cased; rules see host and path alone.
 The threshold is calibrated on a fold of the labelled URLs that is kept out of the models.
 
 All counts are over every labelled URL and grow with them. They stay in tables: URLs become rows of
@@ -40,6 +41,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def text_of(url: Column) -> Column:
+    """The whole URL as the models read it."""
+    url = F.coalesce(url, F.lit(""))
+    start = ascii_lower(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1))
+    return F.concat(start, F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)", 1))
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest rule that fits; a rule names a host with its subdomains and the start of a path."""
     fitting = F.lit(None).cast("string")
@@ -147,10 +155,11 @@ def judge_urls(
     """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
     rows = pages.select(
-        F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row")
-    )
+        F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), text_of(F.col(url_col)).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    rows = materialize(rows.withColumn("text", F.concat("host", "path")), "urls")
+    rows = materialize(rows, "urls")
     verdicts = F.create_map(*[F.lit(x) for rule in rules for x in rule]) if rules else F.create_map().cast("map<string,string>")
     verdict = verdicts[F.col("rule")]
     scores, threshold = url_scores(rows, verdict == "allow", F.coalesce(fold_of(F.col("id"), FOLDS), F.lit(0)))

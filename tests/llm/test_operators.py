@@ -231,6 +231,15 @@ def test_url_rules_and_models(spark):
     assert (got[305].verdict, got[306].verdict) == ("allow", "block")
 
 
+def test_url_models_read_the_query(spark):
+    good = [(i, f"http://site{i % 7}.com/page?topic=garden&n={i}") for i in range(60)]
+    bad = [(100 + i, f"http://site{i % 7}.net/page?buy=pills#zzz{i}") for i in range(60)]
+    odd = [(300, "http://q.org/page?topic=garden&n=1"), (301, "http://q.org/page?buy=pills#zzz1")]
+    pages = spark.createDataFrame(good + bad + odd, "page_id long, url string")
+    got = {r.id: r.verdict for r in urls.judge_urls(pages, [("com/", "allow"), ("net/", "block")]).collect()}
+    assert (got[300], got[301]) == ("allow", "block")
+
+
 def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(4)
     rows = [(i, "w " * int(rng.integers(1, 30)), f"s{min(3, int(rng.exponential()))}", str(rng.choice(["a", "b"]))) for i in range(400)]
