@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import fingerprints, html_text, langid, mixing, quality, toxicity, urls
+from glyphmill.llm import fingerprints, html_text, langid, mixing, neighbours, quality, toxicity, urls
 from glyphmill.llm.decontaminate import decontaminate
 from glyphmill.llm.line_dedup import line_dedup
 from glyphmill.llm.ngram_join import similarity_classes
@@ -96,6 +96,12 @@ def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES = {
     "op1_source_mixing": source_mixing,
     "op2_decontamination": decontamination,
@@ -107,6 +113,7 @@ QUERIES = {
     "op8_quality": quality_scores,
     "op9_url_filter": url_filter,
     "op10_line_dedup": line_deduplication,
+    "op13_nearest_neighbours": nearest_neighbours,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
