@@ -6,10 +6,16 @@ columns of its contract from what the operator returns.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.llm import fingerprints, html_text, langid, mixing, neighbours, quality, toxicity, urls
+from glyphmill.llm import conversations, fingerprints, html_text, langid, mixing, neighbours, quality, token_alignment
+from glyphmill.llm import toxicity, urls
 from glyphmill.llm.decontaminate import decontaminate
 from glyphmill.llm.line_dedup import line_dedup
 from glyphmill.llm.ngram_join import similarity_classes
@@ -24,6 +30,8 @@ URL_RULES = [
     ("net/fr/", "block"),
 ]
 TOXIC_AT = 0.7
+#: Folder of the public tokenizer files.
+TOKENIZERS = "/opt/tokenizers"
 
 
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +104,97 @@ def line_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _marked(ids: np.ndarray, sizes: np.ndarray, end: str) -> np.ndarray:
+    """Ids as decimals, a comma behind each but ``end`` behind the last one of a group."""
+    known, place = np.unique(ids, return_inverse=True)
+    last = np.zeros(len(ids), int)
+    last[np.cumsum(sizes) - 1] = 1
+    return np.array([[f"{i},", f"{i}{end}"] for i in known], dtype=object)[place, last]
+
+
+def _group_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of ``a1,a2|b1;a3|b2,b3``, the groups of a row in order; empty without tokens."""
+    for batch in batches:
+        a, b, a_sizes, b_sizes = (batch.column(n).flatten().to_numpy() for n in ("a", "b", "a_sizes", "b_sizes"))
+        digests = np.full(len(batch), "", dtype=object)
+        if len(a):
+            # Tokens of A stand behind the tokens of B of earlier groups, those of B behind A's up to their own.
+            texts = np.empty(len(a) + len(b), dtype=object)
+            texts[np.arange(len(a)) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = _marked(a, a_sizes, "|")
+            texts[np.arange(len(b)) + np.repeat(np.cumsum(a_sizes), b_sizes)] = _marked(b, b_sizes, ";")
+            lengths = sum(batch.column(n).value_lengths().to_numpy() for n in ("a", "b"))
+            texts, ends = texts.tolist(), np.cumsum(lengths)
+            for n in np.flatnonzero(lengths):
+                joined = "".join(texts[ends[n] - lengths[n] : ends[n]])
+                digests[n] = hashlib.sha256(joined[:-1].encode()).hexdigest()
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digests, pa.string())], names=["of", "groups_sha256"])
+
+
+def tokenizer_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
+    a_path, b_path = f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model"
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", a_path, b_path)
+    lists = aligned.select("row", "a", "b", "a_sizes", "b_sizes")
+    digests = lists.mapInArrow(_group_digests, "of long, groups_sha256 string")
+    sizes = [F.size(c).cast("long").alias(n) for c, n in (("a", "n_a"), ("b", "n_b"), ("a_sizes", "n_groups"))]
+    per_row = aligned.select("row", F.col("id").alias("doc_id"), *sizes).join(digests, F.col("row") == F.col("of"))
+    scored = per_row.join(token_alignment.link_scores(aligned), "row", "left")
+    figures = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_links", "n_best", "count_sum")]
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", *figures, "groups_sha256")
+
+
+def damaged_conversations(turns: DataFrame) -> DataFrame:
+    """Nulls as one space; by the digest of id and turn a row is lost, emptied, stripped of ends, repeated or the user's."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    fate, text = F.crc32(key.cast("binary")) % 20, F.coalesce("text", space)
+    text = F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text)
+    role = F.when(fate == 4, "user").otherwise(F.coalesce("role", space))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(fate == 3, 2).otherwise(1))).alias("copy")
+    return turns.filter(fate != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies)
+
+
+def _transcripts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edits in order to a row for each conversation. SHA-256 reads a whole text in order, so one task does it, edit by edit."""
+    own, letters, digest, turns = None, [], hashlib.sha256(), 0
+
+    def row() -> pa.RecordBatch:
+        columns = [pa.array([own[0]], own[1]), pa.array(["".join(letters)]), pa.array([digest.hexdigest()])]
+        return pa.RecordBatch.from_arrays(columns, names=["of", "audit", "repaired_sha256"])
+
+    for batch in batches:
+        ids, edits, roles, texts = (batch.column(n) for n in ("id", "edit", "role", "text"))
+        for n, (id, edit, role) in enumerate(zip(ids.to_pylist(), edits.to_pylist(), roles.to_pylist(), strict=True)):
+            if own is None or own[0] != id:
+                if own is not None:
+                    yield row()
+                own, letters, digest, turns = (id, ids.type), [], hashlib.sha256(), 0
+            letters.append(edit)
+            if role is not None:
+                digest.update(("\n" * (turns > 0) + role + ":").encode())
+                digest.update(texts[n].as_buffer())
+                turns += 1
+    if own is not None:
+        yield row()
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    edits, summary = conversations.repair(damaged_conversations(turns), "conv_id", "turn", "role", "text")
+    kind = edits.schema["id"].dataType.simpleString()
+    in_order = edits.repartition("id").sortWithinPartitions("id", "pos", "nth").select("id", "edit", "role", "text")
+    transcripts = in_order.mapInArrow(_transcripts, f"of {kind}, audit string, repaired_sha256 string")
+    ids = turns.select("conv_id").distinct()
+    known = ids.join(summary, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    known = known.join(transcripts, F.col("conv_id").eqNullSafe(F.col("of")), "left")
+    figures = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return known.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in figures],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     found = neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
@@ -113,6 +212,8 @@ QUERIES = {
     "op8_quality": quality_scores,
     "op9_url_filter": url_filter,
     "op10_line_dedup": line_deduplication,
+    "op11_tokenizer_alignment": tokenizer_alignment,
+    "op12_conversation_repair": conversation_repair,
     "op13_nearest_neighbours": nearest_neighbours,
 }
 
