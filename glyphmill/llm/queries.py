@@ -112,31 +112,29 @@ def _marked(ids: np.ndarray, sizes: np.ndarray, end: str) -> np.ndarray:
     return np.array([[f"{i},", f"{i}{end}"] for i in known], dtype=object)[place, last]
 
 
-def _group_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _group_digests(aligned: pa.RecordBatch) -> pa.Array:
     """SHA-256 of ``a1,a2|b1;a3|b2,b3``, the groups of a row in order; empty without tokens."""
-    for batch in batches:
-        a, b, a_sizes, b_sizes = (batch.column(n).flatten().to_numpy() for n in ("a", "b", "a_sizes", "b_sizes"))
-        digests = np.full(len(batch), "", dtype=object)
-        if len(a):
-            # Tokens of A stand behind the tokens of B of earlier groups, those of B behind A's up to their own.
-            texts = np.empty(len(a) + len(b), dtype=object)
-            texts[np.arange(len(a)) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = _marked(a, a_sizes, "|")
-            texts[np.arange(len(b)) + np.repeat(np.cumsum(a_sizes), b_sizes)] = _marked(b, b_sizes, ";")
-            lengths = sum(batch.column(n).value_lengths().to_numpy() for n in ("a", "b"))
-            texts, ends = texts.tolist(), np.cumsum(lengths)
-            for n in np.flatnonzero(lengths):
-                joined = "".join(texts[ends[n] - lengths[n] : ends[n]])
-                digests[n] = hashlib.sha256(joined[:-1].encode()).hexdigest()
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(digests, pa.string())], names=["of", "groups_sha256"])
+    a, b, a_sizes, b_sizes = (aligned.column(n).flatten().to_numpy() for n in ("a", "b", "a_sizes", "b_sizes"))
+    digests = np.full(len(aligned), "", dtype=object)
+    if len(a):
+        # Tokens of A stand behind the tokens of B of earlier groups, those of B behind A's up to their own.
+        texts = np.empty(len(a) + len(b), dtype=object)
+        texts[np.arange(len(a)) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = _marked(a, a_sizes, "|")
+        texts[np.arange(len(b)) + np.repeat(np.cumsum(a_sizes), b_sizes)] = _marked(b, b_sizes, ";")
+        lengths = sum(aligned.column(n).value_lengths().to_numpy() for n in ("a", "b"))
+        ends = np.cumsum(lengths)
+        for n in np.flatnonzero(lengths):
+            joined = "".join(texts[ends[n] - lengths[n] : ends[n]].tolist())
+            digests[n] = hashlib.sha256(joined[:-1].encode()).hexdigest()
+    return pa.array(digests, pa.string())
 
 
 def tokenizer_alignment(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     a_path, b_path = f"{tokenizers}/byte_bpe_50k.json", f"{tokenizers}/piece_bpe_32k.model"
-    aligned = token_alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", a_path, b_path)
-    lists = aligned.select("row", "a", "b", "a_sizes", "b_sizes")
-    digests = lists.mapInArrow(_group_digests, "of long, groups_sha256 string")
+    digest = {"groups_sha256": ("string", _group_digests)}
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text", a_path, b_path, digest)
     sizes = [F.size(c).cast("long").alias(n) for c, n in (("a", "n_a"), ("b", "n_b"), ("a_sizes", "n_groups"))]
-    per_row = aligned.select("row", F.col("id").alias("doc_id"), *sizes).join(digests, F.col("row") == F.col("of"))
+    per_row = aligned.select("row", F.col("id").alias("doc_id"), *sizes, "groups_sha256")
     scored = per_row.join(token_alignment.link_scores(aligned), "row", "left")
     figures = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_links", "n_best", "count_sum")]
     return scored.select("doc_id", "n_a", "n_b", "n_groups", *figures, "groups_sha256")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,3 +39,15 @@ def bounded_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_ROWS`` at most for the jobs that run inside; then the session's own setting again."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    bounded_batches(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -16,20 +16,23 @@ empty table gives an empty one. Other columns, whatever their names, are not rea
 from __future__ import annotations
 
 import json
-import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glyphmill.llm.shared import small_batches
 from glyphmill.session import materialize
 
-#: Characters that are encoded at a time, but for a longer text.
-CHARACTERS = 500_000
+#: Bytes of text that are encoded at a time, but for a longer text.
+TEXT_BYTES = 400_000
+#: Fixed value: what a byte-level tokenizer of this kind takes for a word.
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pairs of ids whose counts are sent to every task; more are joined by a shuffle.
 BROADCAST_PAIRS = 1_000_000
 #: A pair of ids as one number.
@@ -40,18 +43,18 @@ class _Tokenizers:
     """Both tokenizers, and the bytes of each of their ids."""
 
     def __init__(self, a_file: bytes, b_file: bytes) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_buffer(a_file)
-        self.a.encode_special_tokens = True
+        from tiktoken import Encoding
+
+        as_byte, model = _byte_alphabet(), json.loads(a_file)["model"]
+        merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        if [model["vocab"][m] for m in merges] != list(range(256, 256 + len(merges))):
+            raise ValueError("the ids of the byte-level tokenizer are not the ranks of its merges")
+        # All but the special tokens, whose names are plain text here.
+        ranks = {bytes(as_byte[c] for c in t): id for t, id in model["vocab"].items() if id < 256 + len(merges)}
+        self.a = Encoding("a", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
         self.b = SentencePieceProcessor(model_proto=b_file)
-        as_byte = _byte_alphabet()
-        vocabulary = json.loads(a_file)["model"]["vocab"]
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
-        for token, id in vocabulary.items():
-            self.a_bytes[id] = bytes(as_byte[c] for c in token) if all(c in as_byte for c in token) else token.encode()
+        self.a_bytes = sorted(ranks, key=ranks.__getitem__)
         self.b_bytes = [self._piece(id) for id in range(self.b.get_piece_size())]
         self.a_lengths = np.array([len(x) for x in self.a_bytes])
         self.b_lengths = np.array([len(x) for x in self.b_bytes])
@@ -62,11 +65,9 @@ class _Tokenizers:
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of both for each text; none where the tokens do not spell it."""
-        a = self.a.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
         both = []
-        for text, encoded, b_ids in zip(texts, a, b, strict=True):
-            whole, a_ids = b" " + text.encode(), encoded.ids
+        for text, b_ids in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            a_ids, whole = self.a.encode_ordinary(" " + text), b" " + text.encode()
             spelled = b"".join([self.a_bytes[i] for i in a_ids]) == whole == b"".join([self.b_bytes[i] for i in b_ids])
             both.append((a_ids, b_ids) if spelled and text else ([], []))
         return both
@@ -104,81 +105,80 @@ def _decoded(raw: bytes | None) -> str:
         return ""
 
 
-def _by_size(texts: list[str]) -> Iterator[list[str]]:
-    chunk, size = [], 0
-    for text in texts:
-        if chunk and size + len(text) > CHARACTERS:
-            yield chunk
-            chunk, size = [], 0
-        chunk.append(text)
-        size += len(text)
-    if chunk:
-        yield chunk
+def _by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Stretches of a batch with some ``TEXT_BYTES`` of text, or of one longer text."""
+    stretch = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)) // TEXT_BYTES
+    starts = np.flatnonzero(np.diff(stretch, prepend=-1))
+    for start, end in zip(starts, np.append(starts[1:], len(batch)), strict=True):
+        yield batch.slice(start, end - start)
 
 
-def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+def _lists(values: np.ndarray, lengths: np.ndarray, kind: type = np.int32) -> pa.ListArray:
     offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(kind)))
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], files: Broadcast) -> Iterator[pa.RecordBatch]:
+def _aligned(
+    batches: Iterator[pa.RecordBatch], files: Broadcast, derived: dict[str, Callable[[pa.RecordBatch], pa.Array]]
+) -> Iterator[pa.RecordBatch]:
     both = _loaded(*files.value)
-    for batch in batches:
-        texts, at = [_decoded(raw) for raw in batch.column("text").to_pylist()], 0
-        for chunk in _by_size(texts):
-            encoded = both.encode(chunk)
-            ids = batch.column("id").slice(at, len(chunk))
-            at += len(chunk)
-            n_a, n_b = (np.array([len(e[side]) for e in encoded]) for side in (0, 1))
-            a, b = (np.array([i for e in encoded for i in e[side]], np.int64) for side in (0, 1))
-            # The texts one after another: where one ends, both have a token that ends.
-            of_a, of_b = groups(np.cumsum(both.a_lengths[a]), np.cumsum(both.b_lengths[b])) if len(a) else (a, b)
-            document = np.repeat(np.arange(len(chunk)), n_a)
-            last = np.diff(of_a, append=-1) != 0
-            n_groups = np.bincount(document[last], minlength=len(chunk))
-            sizes = [np.bincount(of, minlength=int(n_groups.sum())) for of in (of_a, of_b)]
-            columns = [ids, _lists(a, n_a), _lists(b, n_b), *[_lists(s, n_groups) for s in sizes]]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "a", "b", "a_sizes", "b_sizes"])
-
-
-def align(df: DataFrame, id: str, text: str, a_path: str, b_path: str) -> DataFrame:
-    """``row, id, a, b, a_sizes, b_sizes``, stored: ids of both tokenizers, and how many of each are in each group.
-
-    The tokenizer files are read here and sent to the tasks.
+    for chunk in (c for batch in batches for c in _by_size(batch)):
+        encoded = both.encode([_decoded(raw) for raw in chunk.column("text").to_pylist()])
+        n_a, n_b = (np.array([len(e[side]) for e in encoded]) for side in (0, 1))
+        a, b = (np.concatenate([np.array(e[side], np.int64) for e in encoded]) for side in (0, 1))
+        # The texts one after another: where one ends, both have a token that ends.
+        of_a, of_b = groups(np.cumsum(both.a_lengths[a]), np.cumsum(both.b_lengths[b])) if len(a) else (a, b)
+        last = np.diff(of_a, append=-1) != 0
+        n_groups = np.bincount(np.repeat(np.arange(len(chunk)), n_a)[last], minlength=len(chunk))
+        sizes = [np.bincount(of, minlength=int(n_groups.sum())) for of in (of_a, of_b)]
+        columns = {"id": chunk.column("id"), "a": _lists(a, n_a), "b": _lists(b, n_b)}
+        columns |= {"a_sizes": _lists(sizes[0], n_groups), "b_sizes": _lists(sizes[1], n_groups)}
+        columns |= _links(a, b, *sizes, n_groups)
+        found = pa.RecordBatch.from_pydict(columns)
+        for name, function in derived.items():
+            found = found.append_column(name, function(found))
+        yield found
+
+
+def _links(
+    a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, n_groups: np.ndarray
+) -> dict[str, pa.ListArray]:
+    """By text the different pairs of ids that end groups, and how often each does."""
+    pair = a[np.cumsum(a_sizes) - 1] * _B_IDS + b[np.cumsum(b_sizes) - 1]
+    text = np.repeat(np.arange(len(n_groups)), n_groups)
+    order = np.lexsort((pair, text))
+    pair, text = pair[order], text[order]
+    first = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(text, prepend=-1) != 0))
+    lengths = np.bincount(text[first], minlength=len(n_groups))
+    return {"pairs": _lists(pair[first], lengths, np.int64), "times": _lists(np.diff(np.append(first, len(pair))), lengths)}
+
+
+def align(
+    df: DataFrame, id: str, text: str, a_path: str, b_path: str,
+    derived: dict[str, tuple[str, Callable[[pa.RecordBatch], pa.Array]]] = {},
+) -> DataFrame:
+    """``row, id, a, b, a_sizes, b_sizes, pairs, times``, stored.
+
+    These are the ids of both tokenizers, how many of each are in each group, and the different links (``a`` and
+    ``b`` in one number) with how often the row has them. ``derived`` names more columns, their types, and
+    functions that make them of the others. The tokenizer files are read here and sent to the tasks.
     """
     spark = df.sparkSession
     with open(a_path, "rb") as a_file, open(b_path, "rb") as b_file:
         files = spark.sparkContext.broadcast((a_file.read(), b_file.read()))
     rows = df.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    lists = ", ".join(f"{c} array<int>" for c in ("a", "b", "a_sizes", "b_sizes"))
-    found = rows.mapInArrow(partial(_aligned, files=files), f"id {rows.schema['id'].dataType.simpleString()}, {lists}")
-    return materialize(found.withColumn("row", F.monotonically_increasing_id()), "aligned")
-
-
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all lists, and the length of each list."""
-    return column.flatten().to_numpy(), column.value_lengths().to_numpy()
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        (a, _), (b, _) = _flat(batch.column("a")), _flat(batch.column("b"))
-        (a_sizes, n_groups), (b_sizes, _) = _flat(batch.column("a_sizes")), _flat(batch.column("b_sizes"))
-        if not len(a_sizes):
-            continue
-        pair = a[np.cumsum(a_sizes) - 1].astype(np.int64) * _B_IDS + b[np.cumsum(b_sizes) - 1]
-        row = np.repeat(np.arange(len(batch)), n_groups)
-        order = np.lexsort((pair, row))
-        pair, row = pair[order], row[order]
-        first = np.flatnonzero((np.diff(pair, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
-        n = np.diff(np.append(first, len(pair)))
-        rows = batch.column("row").to_numpy()[row[first]]
-        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(pair[first]), pa.array(n)], names=["row", "pair", "n"])
+    types = {"id": rows.schema["id"].dataType.simpleString()}
+    types |= {c: "array<int>" for c in ("a", "b", "a_sizes", "b_sizes")} | {"pairs": "array<bigint>", "times": "array<int>"}
+    types |= {name: kind for name, (kind, _) in derived.items()}
+    make = partial(_aligned, files=files, derived={name: function for name, (_, function) in derived.items()})
+    found = rows.mapInArrow(make, ", ".join(f"{name} {kind}" for name, kind in types.items()))
+    with small_batches(spark):
+        return materialize(found.withColumn("row", F.monotonically_increasing_id()), "aligned")
 
 
 def links(aligned: DataFrame) -> DataFrame:
-    """``row, pair, n``: how often a row links a pair of ids, ``a`` and ``b`` in one number."""
-    return aligned.select("row", "a", "b", "a_sizes", "b_sizes").mapInArrow(_links, "row long, pair long, n long")
+    """``row, pair, n``: how often a row links a pair of ids."""
+    return aligned.select("row", F.inline(F.arrays_zip("pairs", "times"))).withColumnsRenamed({"pairs": "pair", "times": "n"})
 
 
 def link_scores(aligned: DataFrame) -> DataFrame:
