@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ def plan_chunks(
     order_by: list[str] | None = None,
     renumber_on_resume: bool = False,
     numbered_to: tuple[int, int] = (0, 0),
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Block table ``row_ordinal, id, language, block_idx, chunk_no, block_text``.
 
@@ -43,6 +46,7 @@ def plan_chunks(
     effective rows past them. Chunk numbers are those of an unbroken run;
     ``renumber_on_resume`` starts them at the first row resumed instead. ``numbered_to``
     names a row of an earlier run and the last chunk number up to it: rows up to there are not cut again.
+    ``watch`` gets the rows on the pass that cuts them, each once.
     """
     if order_by:
         rows = stored_in_order(df, order_by, "row_ordinal", start=1)
@@ -67,7 +71,7 @@ def plan_chunks(
     else:
         rows = in_ordinal_order(rows, "row_ordinal")
     blocks = (
-        row_blocks(rows, seed)
+        row_blocks(watch(rows) if watch else rows, seed)
         .select(
             "row_ordinal",
             "id",

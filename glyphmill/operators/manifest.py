@@ -17,6 +17,8 @@ _DIGESTED = (
     + ["extent_padding", *CHANNELS]
 )
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
 MANIFEST_COLUMNS = [
     "basename", "text", "font", "alignment", "width", "height", "aspect_ratio", "text_w", "text_h",
     "wrap_cols", "margin_factor", "bg_color", "text_color", "ptsize", "char_spacing",
@@ -130,11 +132,24 @@ def planned_blocks(blocks: DataFrame, seed: int = 42) -> DataFrame:
     return planned.withColumn("reject_reason", F.when(~F.col("ok"), "no valid size in 11 attempts"))
 
 
+def _rendered(planned: DataFrame) -> DataFrame:
+    key = sample_key(F.col("language"), F.col("id"), F.col("block_idx"), F.col("aspect_ratio"))
+    return with_text_region(planned.withColumn("basename", key)).withColumn("effects", effects())
+
+
 def render_manifest(blocks: DataFrame, seed: int = 42) -> DataFrame:
     """The block table as arguments for a renderer, one row per accepted block."""
-    accepted = planned_blocks(blocks, seed).filter(F.col("ok"))
-    keyed = accepted.withColumn(
-        "basename",
-        sample_key(F.col("language"), F.col("id"), F.col("block_idx"), F.col("aspect_ratio")),
+    return _rendered(planned_blocks(blocks, seed).filter(F.col("ok"))).select(*MANIFEST_COLUMNS)
+
+
+def manifest_outcomes(blocks: DataFrame, seed: int = 42) -> DataFrame:
+    """Accepted and rejected blocks of one pass, by ``outcome``, in the columns of the manifest.
+
+    A rejected block has its number in place of the name and the reason in place of the text, and nothing else,
+    so that one write partitioned by outcome holds both.
+    """
+    told = {"basename": F.col("chunk_no").cast("string"), "text": F.col("reject_reason")}
+    return _rendered(planned_blocks(blocks, seed)).select(
+        *[F.when(F.col("ok"), F.col(c)).otherwise(told.get(c)).alias(c) for c in MANIFEST_COLUMNS],
+        F.when(F.col("ok"), ACCEPTED).otherwise(REJECTED).alias("outcome"),
     )
-    return with_text_region(keyed).withColumn("effects", effects()).select(*MANIFEST_COLUMNS)

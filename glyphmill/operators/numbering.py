@@ -89,6 +89,11 @@ def shuffle_key(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def bucket_of(digest: Column) -> Column:
+    """One of ``HASH_BUCKETS`` even buckets, in the order of the digests."""
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("int")
+
+
 def shuffled_positions(df: DataFrame, key: str, seed: int, out: str = "pos") -> DataFrame:
     """``df`` in a reproducible random order: position and total row count.
 
@@ -98,7 +103,7 @@ def shuffled_positions(df: DataFrame, key: str, seed: int, out: str = "pos") ->
     twice, the first time for its key alone: pass a stored table.
     """
     digest = shuffle_key(F.col(key), seed)
-    bucket = F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("int")
+    bucket = bucket_of(digest)
 
     sizes = df.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

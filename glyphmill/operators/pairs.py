@@ -14,6 +14,16 @@ def large_enough(images: DataFrame, min_bytes: int, length: str = "length") -> D
     return images.filter(F.col(length) >= min_bytes)
 
 
+def usable_pair(length: Column, text: Column, min_bytes: int) -> Column:
+    """Of a row of the full join of images and texts: both are there, and the image has enough bytes."""
+    return (length >= min_bytes) & text
+
+
+def orphan_side(image: Column, text: Column) -> Column:
+    """The side that is there alone; null if both are."""
+    return F.when(text.isNull(), "image").when(image.isNull(), "text")
+
+
 def pair(
     images: DataFrame, texts: DataFrame, min_bytes: int, key: str = "basename", length: str = "length"
 ) -> DataFrame:
@@ -30,7 +40,7 @@ def orphans(images: DataFrame, texts: DataFrame, key: str = "basename") -> DataF
     """Names on one side only, as ``key, side``: one join for both directions."""
     left = images.select(key, F.lit(True).alias("_image"))
     right = texts.select(key, F.lit(True).alias("_text"))
-    side = F.when(F.col("_text").isNull(), "image").when(F.col("_image").isNull(), "text")
+    side = orphan_side(F.col("_image"), F.col("_text"))
     return left.join(right, key, "full_outer").select(key, side.alias("side")).filter(
         F.col("side").isNotNull()
     )
@@ -63,20 +73,20 @@ def checked_images(images: DataFrame) -> DataFrame:
     )
 
 
+def missing_values(required: list[str]) -> Column:
+    """Why a row cannot be used: the required values that it lacks; null if it has them all."""
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull())
+    return F.when(F.size(missing) > 0, F.left(F.concat(F.lit("missing "), F.array_join(missing, ", ")), F.lit(500)))
+
+
 def split_usable(
     df: DataFrame, required: list[str], stage: str, key: str, place: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Rows with every required value, and error rows ``key, stage, error`` and ``place`` for the others."""
-    missing = F.filter(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull()
-    )
-    flagged = df.withColumn("_missing", missing)
-    usable = flagged.filter(F.size("_missing") == 0).drop("_missing")
-    error = F.concat(F.lit("missing "), F.array_join("_missing", ", "))
-    failed = flagged.filter(F.size("_missing") > 0)
-    return usable, failed.select(
-        F.col(key).alias("key"), F.lit(stage).alias("stage"), F.left(error, F.lit(500)).alias("error"), *place
-    )
+    flagged = df.withColumn("_error", missing_values(required))
+    usable = flagged.filter(F.col("_error").isNull()).drop("_error")
+    failed = flagged.filter(F.col("_error").isNotNull())
+    return usable, failed.select(F.col(key).alias("key"), F.lit(stage).alias("stage"), F.col("_error").alias("error"), *place)
 
 
 def transcript(text: Column) -> Column:

@@ -59,6 +59,28 @@ def chat_sample(df: DataFrame, *keep: str, instruction: str = "OCR:") -> DataFra
     )
 
 
+def chat_error(key: Column, error: Column) -> Column:
+    """Messages that tell of a sample that could not be made."""
+    part = F.struct(F.lit(None).cast(IMAGE_TYPE).alias("image"), error.alias("text"), key.alias("type"))
+    return F.array(F.struct(F.array(part).alias("content"), F.lit("error").alias("role"))).cast(MESSAGES_TYPE)
+
+
+def told_by_chat(messages: Column) -> tuple[Column, Column]:
+    """Key and error of ``chat_error``."""
+    part = messages[0]["content"][0]
+    return part["type"], part["text"]
+
+
+def instruction_error(key: Column, error: Column) -> Column:
+    """A ``text_info`` that tells of a sample that could not be made."""
+    return F.array(F.struct(error.alias("text"), key.alias("tag")))
+
+
+def told_by_instruction(text_info: Column) -> tuple[Column, Column]:
+    """Key and error of ``instruction_error``."""
+    return text_info[0]["tag"], text_info[0]["text"]
+
+
 def instruction_sample(
     df: DataFrame, *keep: str, instruction: str = "OCR:", assets_prefix: str = "./assets/"
 ) -> DataFrame:

@@ -1,8 +1,12 @@
-"""Run counters and error rows as tables."""
+"""Run counters, progress and error rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glyphmill.functions.metrics import percent
@@ -53,3 +57,33 @@ def error_rows(df: DataFrame, key: str, stage: str, error: Column) -> DataFrame:
         F.lit(stage).alias("stage"),
         F.left(one_line, F.lit(500)).alias("error"),
     )
+
+
+@contextmanager
+def logged_progress(spark: SparkSession, log_file: str | None, every: float = 5.0) -> Iterator[None]:
+    """While the block runs, a line in ``log_file`` each time the tasks done of a running stage changed."""
+    if not log_file:
+        yield
+        return
+    done, tracker, told = threading.Event(), spark.sparkContext.statusTracker(), {}
+
+    def watch() -> None:
+        while not done.wait(every):
+            lines = []
+            for stage in tracker.getActiveStageIds():
+                info = tracker.getStageInfo(stage)
+                if info is not None and told.get(stage) != info.numCompletedTasks:
+                    told[stage] = info.numCompletedTasks
+                    share = 100 * info.numCompletedTasks / max(info.numTasks, 1)
+                    lines.append(f"PROGRESS: stage {stage} | {share:.1f}% | Tasks: {info.numCompletedTasks}/{info.numTasks}\n")
+            if lines:
+                with open(log_file, "a", encoding="utf-8") as log:
+                    log.writelines(lines)
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield
+    finally:
+        done.set()
+        watcher.join()

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +45,29 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/glyphmill-{spark.sparkContext.applicationId}"
 
 
+#: Where ``materialize`` wrote inside the innermost ``temporary_tables``.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what ``materialize`` stored inside it; nothing read from there may be used any more."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: a lineage cut that outlives executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,14 +78,17 @@ def discard(*stored: DataFrame) -> None:
         spark = df.sparkSession
         for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
             if folder.startswith(scratch_dir(spark)) or scratch_dir(spark) in folder:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                _delete(spark, folder)
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application stored in the scratch folder, once its results are written."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, scratch_dir(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt(df: DataFrame) -> DataFrame:

@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glyphmill.session import materialize
-
-
-def write_texts(manifest: DataFrame, path: str, run: int = 0) -> None:
-    """Accepted texts as one table keyed by ``basename``, not one file each."""
-    write_run(manifest.select("basename", "text"), path, run)
-
 
 def write_flat(flat: DataFrame, path: str, max_rows_per_file: int = 10_000) -> None:
     """The flat dataset, one folder per split, files of bounded size."""
@@ -26,12 +19,15 @@ def write_shards(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     Only the shards present in ``df`` are replaced, so a run resumed at a later
     shard leaves the earlier ones alone and a repeated run changes nothing.
     """
-    placed = df.repartition("split", "shard_idx").sortWithinPartitions(
-        "split", "shard_idx", "split_pos"
-    )
+    write_placed(df.repartition("split", "shard_idx"), path, ["split", "shard_idx"], fmt)
+
+
+def write_placed(df: DataFrame, path: str, folders: list[str], fmt: str = "parquet") -> None:
+    """Rows that are with the others of their shard already, in a folder for each value of ``folders``."""
     writer = (
-        placed.drop("split_pos")
-        .write.partitionBy("split", "shard_idx")
+        df.sortWithinPartitions(*folders, "split_pos")
+        .drop("split_pos")
+        .write.partitionBy(*folders)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         # Null leaves are part of the chat layout.
@@ -40,43 +36,6 @@ def write_shards(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer.format(fmt).save(path)
 
 
-def replace_from(df: DataFrame, path: str, kept: Column) -> None:
-    """Overwrite a small table, keeping the rows of an earlier run for which ``kept`` holds."""
-    spark = df.sparkSession
-    if path_exists(spark, path):
-        earlier = spark.read.schema(df.schema).parquet(path).filter(kept)
-        df = materialize(earlier.unionByName(df), "kept")
-    df.write.mode("overwrite").parquet(path)
-
-
-def write_run(df: DataFrame, path: str, run: int) -> None:
-    """The rows of a run that began after row ``run``; those of earlier runs stay, later ones go."""
-    spark = df.sparkSession
-    for later in [r for r in stored_runs(spark, path) if r > run]:
-        _delete(spark, f"{path}/run={later}")
-    df.write.mode("overwrite").parquet(f"{path}/run={run}")
-
-
-def stored_runs(spark: SparkSession, path: str) -> list[int]:
-    """Where the runs began whose rows are at ``path``: one number for each time somebody resumed."""
-    if not path_exists(spark, path):
-        return []
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
-    names = [f.getPath().getName() for f in found]
-    return sorted(int(n.removeprefix("run=")) for n in names if n.startswith("run="))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def write_instruction_lines(df: DataFrame, path: str) -> None:
     """One JSON object a line, non-ASCII as it is, a folder per split and shard."""
     write_shards(df, path, fmt="json")
