@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
@@ -71,12 +72,8 @@ TEXT_PAGES = 8  # of a host whose common texts count as template
 MIN_CLASS = 3
 TEXT_SHARE = 0.75  # of the pages of a host that have a text which is template
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_SPECIAL = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORD = re.compile(r"[a-z0-9]+")
 
@@ -116,30 +113,91 @@ def _opening(name: str, attrs: str) -> Token:
     return Token("open", name, key, "", listed or name in EXCLUDED_TAGS, key if partly and not listed else "", listed)
 
 
+class _Tags:
+    """Finds where tags end, in time proportional to the page: what a search has found or missed is not looked for again."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.size = page, len(page)
+        self._next_close = self._next_special = -1
+        self._ends: dict[int, int] = {}  # by the place of a quote that opens a value
+
+    def close(self, at: int) -> int:
+        """The first ``>`` from ``at`` on, or the size of the page."""
+        if self._next_close < at:
+            found = self.page.find(">", at)
+            self._next_close = self.size if found < 0 else found
+        return self._next_close
+
+    def end(self, at: int) -> int:
+        """The ``>`` that ends a tag whose attributes begin at ``at``: the first one outside quotes, if all quotes close."""
+        passed, end = [], self.size
+        while True:
+            if self._next_special < at:
+                found = _SPECIAL.search(self.page, at)
+                self._next_special = found.start() if found else self.size
+            quote = self._next_special
+            if quote == self.size:
+                break
+            if self.page[quote] == ">":
+                end = quote
+                break
+            if quote in self._ends:
+                end = self._ends[quote]
+                break
+            passed.append(quote)
+            closing = self.page.find(self.page[quote], quote + 1)
+            if closing < 0:
+                break
+            at = closing + 1
+        self._ends.update(dict.fromkeys(passed, end))
+        # Later searches may begin before the place where this one ended.
+        self._next_special = -1 if passed else self._next_special
+        return end
+
+
 def tokens(page: str) -> Iterator[Token]:
-    at, n = 0, len(page)
-    while at < n:
-        tag = _TAG.search(page, at)
-        end = tag.start() if tag else n
-        if end > at:
-            text = page[at:end]
-            yield Token("text", "", " ".join(html.unescape(text).split()), text)
-        if not tag:
-            return
-        at = tag.end()
-        if tag["name"] is None and tag["name2"] is None:
-            if page.startswith("<![CDATA[", tag.start()):
-                yield Token("text", "", "", html.escape(tag[0][9:].removesuffix("]]>")))
+    tags, begun, n = _Tags(page), 0, len(page)
+    start = page.find("<")
+    while start >= 0:
+        name = attrs = None
+        literal = ""
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            end = n if end < 0 else end + 3
+        elif page.startswith("<![CDATA[", start):
+            end = page.find("]]>", start + 9)
+            literal, end = page[start + 9 : end if end >= 0 else n], n if end < 0 else end + 3
+        elif page.startswith(("<!", "<?"), start):
+            end = tags.close(start + 2) + 1
+        elif tags.close(start) < n and (name := _NAME.match(page, start)):
+            end = tags.end(name.end())
+            end = (tags.close(name.end()) if end == n else end) + 1
+            attrs = page[name.end() : end - 1]
+        else:
+            end = n + 1
+        if end > n:  # no tag, but text
+            start = page.find("<", start + 1)
             continue
-        name = (tag["name"] or tag["name2"]).lower()
-        if tag["close"] or tag["close2"]:
-            yield Token("close", name, f"</{name}>")
-            continue
-        yield _opening(name, tag["attrs"] or tag["attrs2"] or "")
-        if name in RAW:
-            end_tag = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end_tag.end() if end_tag else n
-            yield Token("close", name, f"</{name}>")
+        if start > begun:
+            text = page[begun:start]
+            yield Token("text", "", " ".join(html.unescape(text).split()), text)
+        begun = end
+        if literal:
+            yield Token("text", "", "", html.escape(literal))
+        if name is not None:
+            tag = name[1].lower()
+            if page[start + 1] == "/":
+                yield Token("close", tag, f"</{tag}>")
+            else:
+                yield _opening(tag, attrs or "")
+                if tag in RAW:
+                    end_tag = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, begun)
+                    begun = min(tags.close(end_tag.end()) + 1, n) if end_tag else n
+                    yield Token("close", tag, f"</{tag}>")
+        start = page.find("<", begun)
+    if begun < n:
+        text = page[begun:]
+        yield Token("text", "", " ".join(html.unescape(text).split()), text)
 
 
 def digest(text: str) -> str:
@@ -222,15 +280,24 @@ def templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def layout(page: str | None) -> Iterator[Token | Block]:
     """The tags of a page and its blocks, each block before the tag that ends it."""
     stack: list[Token] = []
+    within: Counter[str] = Counter()  # names of the elements in the stack
     buffer: list[str] = []
     chars = linked = 0
 
+    def in_main() -> bool:
+        return any(within[name] for name in MAIN)
+
+    def leave() -> str:
+        name = stack.pop().name
+        within[name] -= 1
+        return name
+
     def block() -> Iterator[Block]:
         nonlocal chars, linked
         text = " ".join(html.unescape("".join(buffer)).split())
         if text:
             doubtful = stack[-1].doubtful if stack else ""
-            yield Block(text, any(t.name in MAIN for t in stack), doubtful, chars, linked)
+            yield Block(text, in_main(), doubtful, chars, linked)
         buffer.clear()
         chars = linked = 0
 
@@ -239,22 +306,23 @@ def layout(page: str | None) -> Iterator[Token | Block]:
             if not (stack and stack[-1].excluded):
                 buffer.append(token.text)
                 chars += len(token.key)
-                linked += len(token.key) if any(t.name == "a" for t in stack) else 0
+                linked += len(token.key) if within["a"] else 0
             continue
         if token.name not in INLINE:
             yield from block()
         if token.kind == "open":
             if token.name not in VOID:
                 if token.name in SELF_CLOSING and stack and stack[-1].name == token.name:
-                    stack.pop()
-                if token.name == "header" and not token.listed and any(t.name in MAIN for t in stack):
+                    leave()
+                if token.name == "header" and not token.listed and in_main():
                     token.excluded, token.doubtful = False, token.key
                 if stack:
                     token.excluded |= stack[-1].excluded  # what is inside is excluded with it
                     token.doubtful = token.doubtful or stack[-1].doubtful
                 stack.append(token)
-        elif any(t.name == token.name for t in stack):
-            while stack.pop().name != token.name:
+                within[token.name] += 1
+        elif within[token.name]:
+            while leave() != token.name:
                 pass
         yield token
     yield from block()
