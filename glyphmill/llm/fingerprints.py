@@ -32,6 +32,7 @@ CELLS = GROUPS * SLOTS
 PEELS = 8  # digests a sketch gives up at most; more count as a failure
 PER_SKETCH = 4  # digests to a sketch where texts are dealt into several
 STRETCH = 2000  # rows of a stretch of ids
+MOST_STRETCHES = 10_000  # whose bounds go through the driver; beyond them stretches grow
 LEVELS = 64
 
 
@@ -130,21 +131,18 @@ def as_text(cells: Column) -> Column:
 
 
 def _dealt(xs: str, parts: Column, level: int) -> Column:
-    """The digests in ``parts`` arrays by a hash, in two steps so that long texts stay cheap."""
-    coarse = F.ceil(F.sqrt(parts)).cast("int")
-    upto = F.sequence(F.lit(0), coarse - 1)
-
-    def by(x: Column, step: int) -> Column:
-        return F.pmod(F.xxhash64(x, F.lit(2 * level + step)), coarse).cast("int")
-
-    return F.flatten(
-        F.transform(
-            upto,
-            lambda i: F.transform(
-                upto, lambda j: F.filter(F.col(xs), lambda x: (by(x, 0) == i) & (by(x, 1) == j))
-            ),
-        )
-    )
+    """The digests in at least ``parts`` arrays by a hash: halved bit by bit, so each digest is looked at twice a bit."""
+
+    def halved(state: Column, bit: Column) -> Column:
+        def half(part: Column, side: int) -> Column:
+            return F.filter(
+                part, lambda x: F.call_function("shiftright", F.xxhash64(x, F.lit(level)), bit).bitwiseAND(F.lit(1)) == side
+            )
+
+        return F.flatten(F.transform(state, lambda part: F.array(half(part, 0), half(part, 1))))
+
+    bits = F.ceil(F.log2(parts)).cast("int")
+    return F.aggregate(F.sequence(F.lit(0), bits - 1), F.array(F.col(xs)), halved)
 
 
 def differences(pairs: DataFrame) -> DataFrame:
@@ -184,18 +182,30 @@ def differences(pairs: DataFrame) -> DataFrame:
     return found.groupBy("id", "kind").agg(F.sum("found").alias("d"))
 
 
+def _bounds_passed(value: Column, bounds: list[int]) -> Column:
+    """How many of the sorted ``bounds`` are not above ``value``, found by halving."""
+    known = F.expr(f"array({', '.join(f'bigint({b})' for b in bounds)})")
+    widths = [1 << b for b in reversed(range(len(bounds).bit_length()))]
+
+    def further(passed: Column, width: Column) -> Column:
+        ahead = passed + width
+        return F.when((ahead <= len(bounds)) & (F.get(known, ahead - 1) <= value), ahead).otherwise(passed)
+
+    return F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), further)
+
+
 def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, text, next``: each text with that of the next id, after the last that of the first."""
     rows = docs.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text")
     )
-    low, high, n = rows.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
+    n = rows.count()
     if not n:
         return rows.withColumn("next", F.col("text"))
-    stretches = -(-n // STRETCH)
-    # Doubles keep the order of ids that are far apart.
-    share = (F.col("id").cast("double") - F.lit(float(low))) / F.lit(float(high) - float(low) + 1.0)
-    rows = rows.withColumn("stretch", F.least(F.floor(share * stretches), F.lit(stretches - 1)))
+    stretches = min(MOST_STRETCHES, -(-n // STRETCH))
+    quantiles = F.expr(f"array({', '.join(str(i / stretches) for i in range(1, stretches + 1))})")
+    bounds = rows.agg(F.percentile_approx("id", quantiles, 10 * MOST_STRETCHES)).first()[0]
+    rows = rows.withColumn("stretch", _bounds_passed(F.col("id"), sorted(set(bounds))))
     # Where each stretch begins: one narrow row for each.
     firsts = rows.groupBy("stretch").agg(F.min("id").alias("id"))
     order = Window.orderBy("stretch")
