@@ -86,15 +86,9 @@ def word_edit_distance(a: Column, b: Column) -> Column:
     Common ends are cut. Each distinct word that both rests hold becomes one private code point,
     which turns the word lists into strings for the built-in; words of one side alone match
     nothing and share one code for each side. Null for more than 2**20 - 2 different words in
-    common, so that such a pair is told by its missing rate and the job goes on.
+    common; stored scores count such pairs in another way.
     """
 
-    def rest(ws: Column, start: Column) -> Column:
-        return F.reverse(F.slice(ws, start + 1, F.size(ws)))
-
-    def cut(pair: Column) -> Column:
-        return _cut_start_and_turn(pair, F.size, F.slice, rest)
-
     def code(shared: Column, ws: Column, alone: int) -> Column:
         hexes = F.transform(ws, lambda w: F.lpad(F.hex(_place_in(shared, w, alone) + FIRST_CODE), 8, "0"))
         return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
@@ -107,11 +101,18 @@ def word_edit_distance(a: Column, b: Column) -> Column:
         return let(F.array_sort(F.array_intersect(lists["x"], lists["y"])), coded)
 
     def differing(pair: Column) -> Column:
-        return let(cut(pair), lambda p: let(cut(p), over))
+        return let(_cut_words(pair), lambda p: let(_cut_words(p), over))
 
     return F.when(a == b, 0).when(a != b, let(_pair(a, b), differing))
 
 
+def _cut_words(pair: Column) -> Column:
+    def rest(ws: Column, start: Column) -> Column:
+        return F.reverse(F.slice(ws, start + 1, F.size(ws)))
+
+    return _cut_start_and_turn(pair, F.size, F.slice, rest)
+
+
 def _place_in(words_in_order: Column, word: Column, otherwise: int) -> Column:
     """The 0-based place of ``word`` in a sorted array, found by halving; ``otherwise`` if it is not there."""
     n = F.size(words_in_order)

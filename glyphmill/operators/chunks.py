@@ -13,6 +13,10 @@ from glyphmill.operators.numbering import ROW, RUN, SPLIT, in_ordinal_order, num
 from glyphmill.session import materialize
 
 
+#: What a row costs besides its text, in bytes of text.
+ROW_BYTES = 64
+
+
 def row_blocks(df: DataFrame, seed: int = 42) -> DataFrame:
     """The blocks of each effective row as an array column; narrow, streaming or not."""
     effective = df.filter(is_effective(F.col("id"), F.col("text")))
@@ -69,7 +73,7 @@ def plan_chunks(
         # Already stored in order; this only restores it inside each task.
         rows = rows.sortWithinPartitions("row_ordinal")
     else:
-        rows = in_ordinal_order(rows, "row_ordinal")
+        rows = in_ordinal_order(rows, "row_ordinal", F.octet_length("text") + ROW_BYTES)
     blocks = (
         row_blocks(watch(rows) if watch else rows, seed)
         .select(

@@ -49,14 +49,19 @@ def progress_line(current_row: Column, total_rows: Column, effective: Column, ch
     )
 
 
-def error_rows(df: DataFrame, key: str, stage: str, error: Column) -> DataFrame:
-    """Failures of a stage as ``key, stage, error``: one line, at most 500 characters."""
-    one_line = F.regexp_replace(error, r"[\r\n]", " ")
-    return df.select(
-        F.col(key).cast("string").alias("key"),
-        F.lit(stage).alias("stage"),
-        F.left(one_line, F.lit(500)).alias("error"),
-    )
+def _one_line(text: Column) -> Column:
+    return F.left(F.regexp_replace(text, r"[\r\n]", " "), F.lit(500))
+
+
+def command_text(effects: Column) -> Column:
+    """The effects of a manifest row as one line of at most 500 characters: each name and its arguments."""
+    return _one_line(F.array_join(F.transform(effects, lambda e: F.concat_ws(" ", e["op"], e["args"])), " "))
+
+
+def error_rows(df: DataFrame, key: str, stage: str, error: Column, effects: Column | None = None) -> DataFrame:
+    """Failures of a stage as ``key, stage, error``, and ``command`` for what was to be drawn: one line each."""
+    told = [F.col(key).cast("string").alias("key"), F.lit(stage).alias("stage"), _one_line(error).alias("error")]
+    return df.select(*told, *([] if effects is None else [command_text(effects).alias("command")]))
 
 
 @contextmanager

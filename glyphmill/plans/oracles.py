@@ -223,6 +223,17 @@ WHERE id NOT IN (SELECT doc_id FROM documents)
 UNION ALL SELECT 'raw', doc_id, 'duplicate' FROM labels GROUP BY doc_id HAVING count(*) > 1
 UNION ALL SELECT 'finetuned', id, 'duplicate' FROM doubled GROUP BY id HAVING count(*) > 1"""
 
+SYSTEM_COMPARISON = f"""WITH {TURNS}, t AS (SELECT *, conv_id * 1000 + turn AS n FROM turns),
+shown AS (
+  SELECT id, {cer('truth', "CASE WHEN n % 5 <> 0 THEN raw ELSE '' END")} AS raw_cer, {cer('truth', 'ft')} AS ft_cer FROM t),
+found AS (
+  SELECT id, 'raw missing' AS p FROM t WHERE n % 5 = 0
+  UNION ALL SELECT id, 'ft duplicate' FROM t WHERE n % 3 = 0
+  UNION ALL SELECT 'x' || id, 'ft unknown' FROM t WHERE n % 7 = 0),
+listed AS (SELECT id, string_agg(p, ', ' ORDER BY p) AS problems FROM found GROUP BY id)
+SELECT id, round(raw_cer, 9) AS raw_cer, round(ft_cer, 9) AS ft_cer, problems
+FROM shown FULL JOIN listed USING (id)"""
+
 RECORD_DEFAULTS = """
 SELECT d.doc_id AS pos,
        CASE WHEN l.quality = 1 THEN 'q' || d.doc_id ELSE d.doc_id::VARCHAR END AS id,
@@ -327,8 +338,9 @@ SELECT doc_id AS key, 'reshape' AS stage,
          AS error
 FROM j WHERE q OR t"""
 
-ERROR_LOG = """SELECT doc_id::VARCHAR AS key, 'render' AS stage,
-  substr(replace(replace(text, chr(13), ' '), chr(10), ' '), 1, 500) AS error FROM documents"""
+ERROR_LOG = """WITH d AS (SELECT *, replace(replace(text, chr(13), ' '), chr(10), ' ') AS line FROM documents)
+SELECT doc_id::VARCHAR AS key, 'render' AS stage, substr(line, 1, 500) AS error,
+  substr(source || ' ' || line || ' ' || lang || ' ' || n_chars, 1, 500) AS command FROM d"""
 
 # --- blocks -------------------------------------------------------------------
 
@@ -689,6 +701,7 @@ ORACLES: dict[str, str] = {
     "percent_text": PERCENT_TEXT,
     "prediction_join": PREDICTION_JOIN,
     "prediction_problems": PREDICTION_PROBLEMS,
+    "system_comparison": SYSTEM_COMPARISON,
     "record_defaults": RECORD_DEFAULTS,
     "first_rows": FIRST_ROWS,
     "row_at": ROW_AT,

@@ -26,6 +26,7 @@ from glyphmill.operators import splits as S
 from glyphmill.operators.chunks import plan_chunks
 from glyphmill.operators.numbering import positions
 from glyphmill.operators.runlog import error_rows, run_counters
+from glyphmill.plans.evaluation import compare_systems
 from glyphmill.session import dealt
 
 SEED = 42
@@ -170,6 +171,22 @@ def prediction_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.prediction_problems(truth, predictions)
 
 
+def system_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns read by two systems: one misses every fifth, the other reads every third twice and one in seven of no record."""
+    turns = table(spark, sf_dir, "conversations").withColumn("n", F.col("conv_id") * 1000 + F.col("turn"))
+    name = F.concat_ws("-", "conv_id", "turn")
+    truth = turns.select(name.alias("id"), F.col("role").alias("language"), F.col("text").alias("ground_truth"))
+    raw = turns.filter("n % 5 <> 0").select(name.alias("id"), edited(F.col("text"), RAW_EDITS).alias("text"))
+    names = F.array(name, F.when(F.col("n") % 3 == 0, name), F.when(F.col("n") % 7 == 0, F.concat(F.lit("x"), name)))
+    ft = turns.select(F.explode(F.array_compact(names)).alias("id"), edited(F.col("text"), FT_EDITS).alias("text"))
+    scored, problems = compare_systems(truth, {"raw": raw, "ft": ft}, with_problems=True)
+    listed = problems.groupBy("id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "system", "problem"))), ", ").alias("problems")
+    )
+    rates = _rounded(scored.select("id", "raw_cer", "ft_cer"), "raw_cer", "ft_cer")
+    return rates.join(listed, "id", "full_outer")
+
+
 def record_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     joined = docs.join(labels, "doc_id", "left")
@@ -348,7 +365,10 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return error_rows(table(spark, sf_dir, "documents"), "doc_id", "render", F.col("text"))
+    """Texts as errors; source and language, with text and length, as the effects of the command that failed."""
+    effects = [("source", F.col("text")), ("lang", F.col("n_chars").cast("string"))]
+    listed = F.array(*[F.struct(F.col(op).alias("op"), args.alias("args")) for op, args in effects])
+    return error_rows(table(spark, sf_dir, "documents"), "doc_id", "render", F.col("text"), listed)
 
 
 # --- blocks -------------------------------------------------------------------
@@ -568,7 +588,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         eval_cer, eval_wer, eval_summary, eval_report, eval_blocks, eval_documents, percent_text,
-        prediction_join, prediction_problems, record_defaults, first_rows, row_at,
+        prediction_join, prediction_problems, system_comparison, record_defaults, first_rows, row_at,
         clean_markdown, repair_escapes, collapse_text, reflow, upper_text, line_stats, sample_keys,
         noise_filter, exclude_ids, resume_and_limit, corpus_defaults, image_bytes_filter,
         image_geometry, quarantine, error_log,
