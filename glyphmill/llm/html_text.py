@@ -170,9 +170,13 @@ def tokens(page: str) -> Iterator[Token]:
         elif page.startswith(("<!", "<?"), start):
             end = tags.close(start + 2) + 1
         elif tags.close(start) < n and (name := _NAME.match(page, start)):
-            end = tags.end(name.end())
-            end = (tags.close(name.end()) if end == n else end) + 1
-            attrs = page[name.end() : end - 1]
+            close = tags.close(name.end())
+            attrs = page[name.end() : close]
+            if "'" in attrs or attrs.count('"') % 2:  # else all its quotes close before
+                end = tags.end(name.end())
+                close = close if end == n else end
+                attrs = page[name.end() : close]
+            end = close + 1
         else:
             end = n + 1
         if end > n:  # no tag, but text
