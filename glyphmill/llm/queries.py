@@ -285,8 +285,89 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
 FROM marked GROUP BY doc_id
 """
 
+#: CRC-32 of ASCII text: each byte goes in with the first of its eight bits.
+_CRC32 = """xor(list_reduce(
+  list_concat([4294967295::UBIGINT], flatten([[ascii(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(key, '')])),
+  lambda c, x: xor(xor(c, x) >> 1, 3988292384::UBIGINT * (xor(c, x) & 1))), 4294967295)"""
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+#: States: 0 nothing, 1 system, 2 user, 3 assistant. A way is its cost, its audit and the repaired turns.
+_CONVERSATION_SQL = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+),
+fated AS (SELECT *, {_CRC32} % 20 AS fate FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0
+),
+turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)) AS i,
+         rtrim(text, {_SPACE}) AS visible FROM damaged
+),
+faults AS (
+  SELECT conv_id, turn, i, role, text, left(role, 1) AS initial,
+         CASE WHEN visible = '' THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+              WHEN right(visible, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM turns
+),
+inserts(a, b, cost, audit, told) AS (
+  VALUES (0, 0, 0, '', []), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+         (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']),
+         (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])
+),
+edits(a, b, letter, cost, needs) AS (
+  VALUES (0, 0, 'D', 3, ''), (1, 1, 'D', 3, ''), (2, 2, 'D', 3, ''), (3, 3, 'D', 3, ''),
+         (0, 1, 'K', 0, 's'), (0, 2, 'K', 0, 'u'), (1, 2, 'K', 0, 'u'), (3, 2, 'K', 0, 'u'), (2, 3, 'K', 0, 'a'),
+         (0, 2, 'R', 2, ''), (1, 2, 'R', 2, ''), (3, 2, 'R', 2, ''), (2, 3, 'R', 2, '')
+),
+ends AS (SELECT conv_id, max(i) AS n FROM faults GROUP BY conv_id),
+ways(conv_id, i, state, cost, audit, told) AS (
+  SELECT conv_id, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM ends
+  UNION ALL
+  SELECT conv_id, i, b, cost, audit, told FROM (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, b ORDER BY cost, audit) AS best FROM (
+      SELECT w.conv_id, f.i, e.b,
+             w.cost + s.cost + e.cost + CASE WHEN f.fault = 'truncated' AND e.letter <> 'D' THEN 1 ELSE 0 END AS cost,
+             w.audit || s.audit || e.letter AS audit,
+             list_concat(list_concat(w.told, s.told), CASE e.letter WHEN 'D' THEN []
+               ELSE [CASE WHEN e.letter = 'K' THEN f.role WHEN e.b = 2 THEN 'user' ELSE 'assistant' END || ':' || f.text] END)
+               AS told
+      FROM ways w JOIN inserts s ON s.a = w.state JOIN edits e ON e.a = s.b
+      JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+      WHERE (e.needs = '' OR e.needs = f.initial) AND (e.letter = 'D' OR f.fault IS NULL OR f.fault = 'truncated')))
+  WHERE best = 1
+),
+closed AS (
+  SELECT w.conv_id, w.cost + s.cost AS cost, w.audit || s.audit AS audit, list_concat(w.told, s.told) AS told,
+         row_number() OVER (PARTITION BY w.conv_id ORDER BY w.cost + s.cost, w.audit || s.audit) AS best
+  FROM ways w JOIN ends e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.n = w.i
+  JOIN inserts s ON s.a = w.state AND s.b IN (0, 3)
+),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(array_to_string(told, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN closed w ON w.conv_id IS NOT DISTINCT FROM o.conv_id AND w.best = 1
+"""
+
 ORACLES = {
     "op2_decontamination": _DECONTAMINATION_SQL,
     "op7_ngram_join": _NGRAM_JOIN_SQL,
     "op10_line_dedup": _LINE_DEDUP_SQL,
+    "op12_conversation_repair": _CONVERSATION_SQL,
 }
