@@ -14,13 +14,13 @@ is nothing to learn from, every text is ``und``; ties go to the first language i
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphmill.llm.shared import bounded_batches
@@ -30,7 +30,9 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 8
-_LETTER = re.compile(r"[^\W\d_]")
+#: Languages that are learnt at most.
+MOST_LANGS = 256
+_LETTER = regex.compile(r"\p{L}")
 _BLOCK = 256  # windows judged at a time
 
 
@@ -183,25 +185,32 @@ class Judge:
 def labelled_sample(
     docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, cuts: int, length: int
 ) -> tuple[list[bytes], list[str]]:
-    """Up to about ``per_lang`` documents of each language, ``cuts`` passages of ``length`` characters of each."""
+    """Up to ``per_lang`` ids of each of the ``MOST_LANGS`` most frequent languages, ``cuts`` passages of
+    ``length`` characters of one row of each: the ids of the least hashes, however often one is repeated."""
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    counts = rows.groupBy(F.col(lang_col).alias("lang")).agg(
+        F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64(F.col(id_col))).alias("ids")
+    )
+    counts = counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()
     if not counts:
         return [], []
     draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / (1 << 30)
-    share = F.create_map(*[F.lit(x) for g, n in sorted(counts.items()) for x in (g, min(1.0, per_lang / n))])
+    # Twice as many as are wanted, so that enough are left whatever the hashes are.
+    shares = {r["lang"]: min(1.0, 2.0 * per_lang / r["ids"]) for r in counts}
+    share = F.create_map(*[F.lit(x) for g in sorted(shares) for x in (g, shares[g])])
     n = F.length(text_col)
     passages = F.transform(
         F.sequence(F.lit(0), F.lit(cuts - 1)),
         lambda k: F.substr(F.col(text_col), (F.floor(n * k / cuts) + 1).cast("int"), F.lit(length)),
     )
-    drawn = (
-        rows.filter(draw < share[F.col(lang_col)])
+    one_each = (
+        rows.filter(draw < F.try_element_at(share, F.col(lang_col)))
         .select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("place"), passages.alias("passages"))
-        .orderBy("lang", "place", "passages")
-        .limit(2 * per_lang * len(counts))
-        .collect()
+        .groupBy("lang", "place")
+        .agg(F.min("passages").alias("passages"))
     )
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    drawn = one_each.withColumn("rank", rank).filter(F.col("rank") <= per_lang).orderBy("lang", "place").collect()
     found = [(p.lower().encode("utf-8", "replace"), r.lang) for r in drawn for p in dict.fromkeys(r.passages)]
     found = [x for x in found if x[0].strip()]
     return [p for p, _ in found], [g for _, g in found]
