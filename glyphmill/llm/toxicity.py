@@ -29,6 +29,8 @@ BUCKETS = 1 << 16
 DIMENSIONS = 8
 SIZES = (3, 4, 5)
 SEGMENT = 5
+#: Passages, and their characters, that are learnt from a longer text.
+PASSAGES, PASSAGE = 8, 2500
 _STOPS = bytes.maketrans(b'\t\n\r\x0b\x0c.,;:!?"()[]{}|#%&<>/\\=+~`', b" " * 30)
 _PRIME = np.uint32(16777619)
 
@@ -224,10 +226,12 @@ def fit(
     draw = F.pmod(F.xxhash64("_gm_id"), F.lit(1 << 30)) / (1 << 30)
     share = F.when(F.col("_gm_label") == 1, per_class / counts[1]).otherwise(per_class / counts[0])
     drawn = marks.filter(draw < share).limit(4 * per_class)
+    named = docs.select(F.col(f"`{id_col}`").alias("id"), _bounded(F.col(f"`{text_col}`")).alias("text"))
     rows = (
-        docs.join(F.broadcast(drawn), docs[id_col] == F.col("_gm_id"))  # at most 4 * per_class narrow rows
-        .select(F.col("_gm_id").alias("id"), F.col("_gm_label").alias("label"), F.col(text_col).alias("text"))
-        .orderBy("id", "text")
+        named.join(F.broadcast(drawn), F.col("id") == F.col("_gm_id"))  # at most 4 * per_class narrow rows
+        .groupBy("id")  # one row for each id, however many it has
+        .agg(F.min("_gm_label").alias("label"), F.min("text").alias("text"))
+        .orderBy("id")
         .collect()
     )
     if len({r.label for r in rows}) < 2:
@@ -235,6 +239,16 @@ def fit(
     return train([r.text for r in rows], [r.label for r in rows])
 
 
+def _bounded(text: Column) -> Column:
+    """A text to learn from: whole up to ``PASSAGES * PASSAGE`` characters, else so many passages spread over all of it."""
+    n = F.length(text)
+    spread = F.transform(
+        F.sequence(F.lit(0), F.lit(PASSAGES - 1)),
+        lambda k: F.substr(text, (F.floor(n * k / PASSAGES) + 1).cast("int"), F.lit(PASSAGE)),
+    )
+    return F.when(n > PASSAGES * PASSAGE, F.array_join(spread, " ")).otherwise(text)
+
+
 def score(text: Column, model: SubwordModel | None) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

@@ -278,3 +278,55 @@ def test_empty_tables(spark, docs):
     assert decontaminate(docs, items).agg(F.sum("n_hit")).first()[0] == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == urls.judge_urls(pages, [("com/", "allow")]).count() == 0
+
+
+def test_language_sample_keeps_every_language(spark):
+    rows = [(7, "aa", f"word{i} aa text") for i in range(3000)] + [(1000 + i, "zz", f"other{i} zz") for i in range(300)]
+    df = spark.createDataFrame([(i, lang, t) for i, lang, t in rows], "doc_id long, lang string, text string")
+    for shift in (0, 1):  # the id of the many rows is drawn, or another one is
+        moved = df.withColumn("doc_id", F.col("doc_id") + shift)
+        _, langs = langid.labelled_sample(moved, "doc_id", "text", "lang", 400, 4, 256)
+        assert set(langs) == {"aa", "zz"} and 300 <= langs.count("zz") <= 4 * 300 and langs.count("aa") <= 4
+
+
+def test_numbers_are_no_letters(spark):
+    df = spark.createDataFrame([(i, "en" if i % 2 else "de", "word text" if i % 2 else "über Öl") for i in range(40)], "doc_id long, lang string, text string")
+    model = langid.fit(df)
+    odd = spark.createDataFrame([("½ ² ٣",), ("_ 12",), ("é",)], "text string").select(langid.predict(F.col("text"), model).alias("p"))
+    assert [r.p.lang == "und" for r in odd.collect()] == [True, True, False]
+
+
+def test_toxic_sample_is_one_bounded_row_an_id(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.update(texts=texts, labels=labels))
+    docs = spark.createDataFrame([(1, "bad " * 20_000)] * 50 + [(i, f"fine {i}") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    assert seen["labels"].count(1) == 1 and len(seen["texts"]) == 39
+    assert max(map(len, seen["texts"])) <= toxicity.PASSAGES * (toxicity.PASSAGE + 1)
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, "</b " * 250_000, '<a "' * 250_001, "<div>x" * 100_000, "<a><b>x</b>" * 90_000])
+def test_damaged_and_nested_pages_take_time_in_proportion(page):
+    import time
+
+    start = time.process_time()
+    sum(1 for _ in html_text.layout(page))
+    assert time.process_time() - start < 10
+
+
+def test_many_digests_are_dealt_in_time_in_proportion(spark):
+    import time
+
+    df = spark.range(100_000).agg(F.collect_list(F.xxhash64("id")).alias("a"))
+    start = time.perf_counter()
+    row = df.select(P._dealt("a", F.lit(25_000), 1).alias("p")).select(F.size("p").alias("n"), F.size(F.flatten("p")).alias("of")).first()
+    assert row.n >= 25_000 and row.of == 100_000 and time.perf_counter() - start < 30
+
+
+def test_next_text_with_ids_far_apart(spark):
+    ids = [*range(4000), 2**62, -5]
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
+    got = {r.id: r.next for r in P.with_next(df, "doc_id", "text").collect()}
+    order = sorted(ids)
+    assert got == {i: f"t{j}" for i, j in zip(order, order[1:] + order[:1])}
