@@ -2,11 +2,13 @@
 
 A stage takes ``(spark, docs, sf_dir)`` and returns the rows it keeps with the columns of
 ``documents``. Rows without an id pass the stages that compare documents and are not sampled by the last.
+More columns, whatever their names, are passed on as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,33 @@ from glyphmill.session import materialize
 LEAST_SCORE = 0.3
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _with_any_columns(stage: Stage) -> Stage:
+    """``stage`` for tables with columns of any name: it sees those it does not know under neutral names.
+
+    A column that it adds gets underscores if the table has one of that name.
+    """
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        neutral = {f"extra{n}": c for n, c in enumerate(docs.columns) if c not in COLUMNS}
+        known = {c: name for name, c in neutral.items()}
+        out = stage(spark, docs.toDF(*[known.get(c, c) for c in docs.columns]), sf_dir)
+        names: list[str] = []
+        for c in out.columns:
+            name = neutral.get(c, c)
+            while c not in neutral and name not in COLUMNS and (name in docs.columns or name in names):
+                name += "_"
+            names.append(name)
+        return out.toDF(*names)
+
+    return run
+
+
+@_with_any_columns
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a language that the network can tell."""
     model = langid.fit(docs.filter(fold_of(F.col("doc_id"), 4) != 2))
@@ -30,6 +59,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter(known).select(*docs.columns)
 
 
+@_with_any_columns
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of three or more documents stay in the last of them alone."""
     deduped = line_dedup(docs, out="_deduped")
@@ -37,6 +67,7 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return deduped.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
 
 
+@_with_any_columns
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 0.8 of their five-word shingles the one of the least id stays."""
     classes = similarity_classes(docs, words=5, percent=80)
@@ -44,6 +75,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
+@_with_any_columns
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten consecutive words of a benchmark item."""
     hits = decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -51,6 +83,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
 
 
+@_with_any_columns
 def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample sources, languages and topics evened out by the power of the mixing operator."""
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
@@ -59,7 +92,7 @@ def sample_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.join(materialize(sampled, "sampled"), "doc_id").select(*docs.columns, "mix_topic", "mix_probability")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", identify_language),
     ("line_dedup", drop_common_lines),
     ("ngram_join", one_of_each_group),
