@@ -7,14 +7,15 @@ joined, then the documents that have one extend the hit: each window of ``window
 matching gram is compared with the items' windows word by word.
 
 All in DataFrame functions. The texts are read once for the fingerprints, and a second time,
-in a join by id, for documents with a matching fingerprint alone. The items' tables are broadcast
+in a join by id and digest, for documents with a matching fingerprint alone. The items' tables are broadcast
 only after a count against ``BROADCAST_ROWS``; beyond it the joins shuffle. Generators are outer
 ones, since Spark would evaluate the arrays a second time in a filter before an inner one.
 
 Results for odd input: null and empty texts have no words; an item without words or id is
 ignored; items of fewer words than a window are one window of their own length; repeated items
-give the same id once; documents without an id have words but no hits; rows that repeat an id
-share their hits.
+give the same id once; documents without an id have words but no hits; rows that repeat an id are documents
+of their own, told apart by the digest of their text. A text of any length takes time in proportion to it and to its
+matching fingerprints. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -108,38 +109,41 @@ def decontaminate(
     lengths = sorted(r.length for r in short.select("length").distinct().collect())  # fewer than window
 
     # One row per document with its number of words, one for each matching fingerprint.
-    worded = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.md5(text).alias("digest"), text.alias("text"))
+    worded = texts.select("id", "digest", words_of(F.col("text")).alias("words"))
     values = (
         _fingerprints(_grams(worded, gram), span)
-        .select("id", F.size("words").alias("n_words"), F.array_distinct("fingerprints").alias("f"))
-        .select("id", "n_words", F.explode_outer(F.concat(F.array(F.lit(None).cast("long")), "f")).alias("value"))
+        .select("id", "digest", F.size("words").alias("n_words"), F.array_distinct("fingerprints").alias("f"))
+        .select("id", "digest", "n_words", F.explode_outer(F.concat(F.array(F.lit(None).cast("long")), "f")).alias("value"))
         .join(_bounded(prints.withColumn("known", F.lit(True))), "value", "left")
         .filter(F.col("known") | F.col("value").isNull())
-        .select("id", "n_words", "value")
+        .select("id", "digest", "n_words", "value")
     )
     values = materialize(values, "document-fingerprints")
-    counted = values.filter(F.col("value").isNull()).select("id", "n_words")
+    counted = values.filter(F.col("value").isNull()).select("id", "digest", "n_words")
+    document = ["id", "digest"]
     seeds = (
         values.filter(F.col("value").isNotNull() & F.col("id").isNotNull())
-        .groupBy("id")
+        .groupBy(*document)
         .agg(F.collect_set("value").alias("values"))
     )
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    seeded = _grams(texts.join(seeds, "id").select("id", "values", words_of(F.col("text")).alias("words")), gram)
+    matching = texts.join(seeds, document).select(*document, "values", words_of(F.col("text")).alias("words"))
+    seeded = _grams(matching, gram)
     seeded = seeded.withColumn("seed", F.transform("grams", lambda g: F.array_contains("values", g)))
     near = F.filter(
         _upto(F.size("words") - (window - 1)), lambda s: F.exists(F.slice("seed", s + 1, span), lambda x: x)
     )
-    hits = seeded.select("id", F.inline_outer(_windows("words", near, window))).withColumn("length", F.lit(window))
+    hits = seeded.select(*document, F.inline_outer(_windows("words", near, window))).withColumn("length", F.lit(window))
     for length in lengths:
         every = worded.filter(F.col("id").isNotNull()).select(
-            "id", F.inline_outer(_windows("words", _upto(F.size("words") - (length - 1)), length))
+            *document, F.inline_outer(_windows("words", _upto(F.size("words") - (length - 1)), length))
         )
         hits = hits.unionByName(every.withColumn("length", F.lit(length)))
     found = (
         hits.join(_bounded(item_windows), ["key", "length"])
-        .groupBy("id")
+        .groupBy(*document)
         .agg(
             F.array_sort(F.collect_set(F.struct("s", (F.col("s") + F.col("length")).alias("e")))).alias("spans"),
             F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"),
@@ -155,8 +159,8 @@ def decontaminate(
         ),
         lambda a: a["n"],
     )
-    found = found.select("id", covered.cast("long").alias("n_hit"), "items")
-    return counted.join(found, "id", "left").select(
+    found = found.select(*document, covered.cast("long").alias("n_hit"), "items")
+    return counted.join(found, document, "left").select(
         "id",
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

@@ -330,3 +330,11 @@ def test_next_text_with_ids_far_apart(spark):
     got = {r.id: r.next for r in P.with_next(df, "doc_id", "text").collect()}
     order = sorted(ids)
     assert got == {i: f"t{j}" for i, j in zip(order, order[1:] + order[:1])}
+
+
+def test_repeated_ids_are_documents_of_their_own(spark):
+    ten = " ".join(f"w{i}" for i in range(10))
+    rows = [(5, ten, "x"), (5, f"{ten} {ten}", "x"), (5, "clean text", "x"), (6, None, "x"), (5, ten, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string").withColumn("a.b", F.lit(1))
+    hits = decontaminate(docs, spark.createDataFrame([(1, ten)], "item_id long, text string")).collect()
+    assert sorted((r.id, r.n_words, r.n_hit) for r in hits) == [(5, 2, 0), (5, 10, 10), (5, 10, 10), (5, 20, 20), (6, 0, 0)]
