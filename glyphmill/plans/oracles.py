@@ -600,6 +600,12 @@ _PLAIN = [
     "morphology_kernel", "extent_padding", "text",
 ]
 
+
+
+def _six(*numbers: str) -> str:
+    return " || 'x' || ".join(f"printf('%.6f', ({n})::DOUBLE)" for n in numbers)
+
+
 RENDER_MANIFEST = f"""WITH RECURSIVE {blocks(_corpus(replace('text', ('ß', 'ss'))))},
 flowed AS (SELECT *, {strip("regexp_replace(block_text, '[ " + chr(92) + "t]+', ' ', 'g')")} AS t FROM numbered),
 draws AS (SELECT *,
@@ -622,18 +628,19 @@ SELECT {', '.join(_PLAIN)}, {', '.join(f'round({c}, 6) AS {c}' for c in _ROUNDED
   greatest(10, trunc(sqrt(2.5 * (text_w / text_h) * length(text)))::INTEGER) AS wrap_cols,
   regexp_replace(language || '_' || id || '_' || printf('%03d', block_idx) || '_'
                  || trunc(ratio * 100)::INTEGER || 'ar', '[^\\p{{L}}\\p{{N}}_.\\-]', '_', 'g') AS basename,
-  concat_ws(' ',
-    CASE WHEN abs(rotation) > 0.1 THEN 'rotate' END,
-    CASE WHEN abs(skew_x) > 0.1 OR abs(skew_y) > 0.1 THEN 'shear' END,
-    CASE WHEN abs(perspective) > 0.01 AND shift > 0 THEN 'perspective=' || shift END,
-    CASE WHEN use_noise THEN 'noise' END,
-    CASE WHEN use_dirty AND NOT use_noise THEN 'dirty' END,
-    CASE WHEN use_ebc THEN 'brightness-contrast=' || brightness || 'x' || contrast END,
-    CASE WHEN use_banding THEN 'banding' END,
-    CASE WHEN use_morphology THEN 'morphology' END,
-    CASE WHEN apply_wave THEN 'wave' END,
+  concat_ws('; ',
+    CASE WHEN abs(rotation) > 0.1 THEN 'rotate=' || {_six('rotation')} END,
+    CASE WHEN abs(skew_x) > 0.1 OR abs(skew_y) > 0.1 THEN 'shear=' || {_six('skew_x', 'skew_y')} END,
+    CASE WHEN abs(perspective) > 0.01 AND shift > 0 THEN 'perspective=' || {_six('shift')} END,
+    CASE WHEN use_noise THEN 'noise=' || noise_type
+      || CASE WHEN noise_amount > 0 THEN ' ' || {_six('noise_amount')} ELSE '' END END,
+    CASE WHEN use_dirty AND NOT use_noise THEN 'dirty=' || {_six('dirty_attenuate')} END,
+    CASE WHEN use_ebc THEN 'brightness-contrast=' || {_six('brightness', 'contrast')} END,
+    CASE WHEN use_banding THEN 'banding=' || {_six('width', 'height')} END,
+    CASE WHEN use_morphology THEN 'morphology=' || morphology_type || ' ' || morphology_kernel END,
+    CASE WHEN apply_wave THEN 'wave=' || {_six('2', 'width * 0.5')} END,
     'trim=10%',
-    CASE WHEN extent_padding > 0 THEN 'border' END) AS effects
+    CASE WHEN extent_padding > 0 THEN 'border=' || {_six('extent_padding / 2', 'extent_padding / 2')} END) AS effects
 FROM accepted"""
 
 # --- pairs, splits, reshapes --------------------------------------------------

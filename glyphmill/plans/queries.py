@@ -457,7 +457,7 @@ def color_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers as drawn; effects as the names and the whole-number arguments."""
+    """Numbers as drawn; effects with all arguments, whose numbers are shown with six places."""
     rows = corpus(spark, sf_dir)
     rows = rows.withColumn("text", F.replace(F.col("text"), F.lit("ß"), F.lit("ss")))
     manifest = M.render_manifest(plan_chunks(rows, SEED), SEED)
@@ -465,14 +465,20 @@ def render_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "aspect_ratio", "margin_factor", "char_spacing", "rotation", "blur", "skew_x", "skew_y",
         "perspective", "noise_amount", "mb_radius", "mb_sigma", "dirty_attenuate",
     ]
-    whole = ("perspective", "brightness-contrast", "trim")
-    shown = F.transform(
-        "effects",
-        lambda e: F.when(e["op"].isin(*whole), F.concat(e["op"], F.lit("="), e["args"])).otherwise(e["op"]),
-    )
-    return manifest.withColumns({c: F.round(c, 6) for c in floats}).withColumn(
-        "effects", F.array_join(shown, " ")
-    )
+    shown = F.transform("effects", lambda e: F.concat(e["op"], F.lit("="), _six_places(e["args"])))
+    return manifest.withColumns({c: F.round(c, 6) for c in floats}).withColumn("effects", F.array_join(shown, "; "))
+
+
+def _six_places(args: Column) -> Column:
+    """Arguments between spaces and ``x`` with their numbers in one format."""
+    def number(n: Column) -> Column:
+        value = n.try_cast("double")
+        return F.when(value.isNotNull(), F.format_string("%.6f", value)).otherwise(n)
+
+    def part(words: Column) -> Column:
+        return F.array_join(F.transform(F.split(words, "x"), number), "x")
+
+    return F.array_join(F.transform(F.split(args, " "), part), " ")
 
 
 # --- pairs, splits, reshapes --------------------------------------------------
