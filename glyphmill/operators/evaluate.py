@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from glyphmill.functions.distances import distance
 from glyphmill.functions.metrics import cer, percent, wer
 from glyphmill.functions.text import words
-from glyphmill.operators.runlog import observed
+from glyphmill.operators.runlog import figures_of, observed
 from glyphmill.session import dealt, materialize
 
 # Score label -> column of the system's texts; the first is the baseline.
@@ -72,7 +72,7 @@ def stored_scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame
     long = F.coalesce(reduce(Column.__or__, [_long(c) for c in systems.values()]), F.lit(False))
     told, seen = observed(df, "records", long=F.count_if(long))
     stored = materialize(scores(told.filter(~long), systems).drop(*texts), "scores")
-    if not seen.get["long"]:
+    if not figures_of(seen, long=0)["long"]:
         return stored
     return stored.unionByName(materialize(_scores_of_long(df.filter(long), systems).drop(*texts), "scores"))
 

@@ -6,6 +6,7 @@ import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +19,14 @@ def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Ob
     return df.observe(seen, *[c.alias(k) for k, c in metrics.items()]), seen
 
 
+def figures_of(seen: Observation, **nothing: object) -> dict[str, object]:
+    """What was observed; ``nothing`` where the plan was known to have no rows, so that none was ever counted."""
+    try:
+        return dict(seen.get) or dict(nothing)
+    except Py4JJavaError:
+        return dict(nothing)
+
+
 def run_counters(rows: DataFrame, effective: DataFrame, blocks: DataFrame, megabytes: DataFrame) -> DataFrame:
     """One row: rows, effective rows, chunks, output MB; each counted on its own table."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from glyphmill.operators.chunks import plan_chunks
 from glyphmill.operators.corpus import is_effective
 from glyphmill.operators.manifest import ACCEPTED, MANIFEST_COLUMNS, REJECTED, manifest_outcomes
-from glyphmill.operators.runlog import error_rows, logged_progress, observed, progress_line
+from glyphmill.operators.runlog import error_rows, figures_of, logged_progress, observed, progress_line
 from glyphmill.session import temporary_tables
 from glyphmill.sources.corpus import read_corpus
 from glyphmill.sources.digests import differences, digests_by, row_digest, total
@@ -64,7 +64,8 @@ def build_manifest(
             blocks, "blocks", chunks=F.count(F.lit(1)), last_row=F.max("row_ordinal"), last_chunk=F.max("chunk_no")
         )
         counters = _write_outcomes(publication, manifest_outcomes(counted, seed))
-        counters |= seen["blocks"].get | seen["rows"].get
+        counters |= figures_of(seen["blocks"], chunks=0, last_row=None, last_chunk=None)
+        counters |= figures_of(seen["rows"], rows=0, effective_rows=0, read_to=None)
         counters["total_rows"] = rows.count()
         _write_counters(publication, counters)
         for table in TABLES:
@@ -85,7 +86,8 @@ def _write_outcomes(publication: Publication, outcomes: DataFrame) -> dict[str,
         accepted=F.count_if(accepted), digest=total(F.when(accepted, row_digest(kept))),
     )
     made.write.partitionBy("outcome").parquet(publication.aside("outcomes"))
-    count, digest = seen.get["accepted"], seen.get["digest"]
+    figures = figures_of(seen, accepted=0, digest=0)
+    count, digest = figures["accepted"], figures["digest"]
     stored = spark.read.schema(outcomes.schema).parquet(publication.aside("outcomes"))
     manifest = stored.filter(accepted).select(*MANIFEST_COLUMNS)
     if not count:  # then no folder holds it

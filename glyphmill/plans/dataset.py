@@ -16,7 +16,7 @@ from glyphmill.config import PrepConfig
 from glyphmill.functions.png import has_image_signature
 from glyphmill.operators import reshape
 from glyphmill.operators.pairs import checked_images, missing_values, orphan_counts, orphan_side, usable_pair
-from glyphmill.operators.runlog import error_rows, observed
+from glyphmill.operators.runlog import error_rows, figures_of, observed
 from glyphmill.operators.splits import (
     asset_manifest, id_manifest, resume_shards, shard_starts, split_and_shard, with_shard,
 )
@@ -153,7 +153,8 @@ def _write_samples(
     )
     sinks.write_placed(made, publication.aside(name), ["outcome", *_SHARD], fmt)
 
-    rows, digest = seen.get["rows"], seen.get["digest"]
+    made_rows = figures_of(seen, rows=0, digest=0)
+    rows, digest = made_rows["rows"], made_rows["digest"]
     schema = StructType(columns).add("outcome", "string").add("split", "string").add("shard_idx", "integer")
     back = spark.read.schema(schema).format(fmt).load(publication.aside(name))
     key, why = told(F.col(column))
@@ -196,8 +197,9 @@ def build_flat(
         back = spark.read.schema(samples.schema).parquet(publication.aside("data"))
         found = materialize(digests_by(back, ["split"]), "digests")
         read_back = found.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("digest"), F.lit(0))).first()
-        if tuple(read_back) != (seen.get["rows"], seen.get["digest"]):
-            raise OSError(f"data reads back as {tuple(read_back)}, and was made as {seen.get}")
+        made_rows = figures_of(seen, rows=0, digest=0)
+        if tuple(read_back) != (made_rows["rows"], made_rows["digest"]):
+            raise OSError(f"data reads back as {tuple(read_back)}, and was made as {made_rows}")
         found.write.parquet(publication.aside("digests"))
         id_manifest(placed, "basename").write.parquet(publication.aside("ids"))
         for table in ("data", "digests", "ids"):

@@ -276,3 +276,14 @@ def test_scratch_is_empty_after_a_build(spark, tmp_path):
     before = set(folder.iterdir()) if folder.exists() else set()
     build_manifest(spark, long_csv(tmp_path / "c.csv", 5), str(tmp_path / "out"))
     assert set(folder.iterdir()) == before
+
+
+def test_builds_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "row_ordinal long, id string, language string, text string")
+    counters = build_manifest(spark, empty, str(tmp_path / "out"))
+    assert (counters["chunks"], counters["accepted"], counters["rows"]) == (0, 0, 0)
+    assert all(spark.read.parquet(f"{tmp_path}/out/{t}").count() == (t in ("counters", "digests")) for t in corpus_plan.TABLES)
+    for folder in ("images", "text"):
+        (tmp_path / folder).mkdir()
+    build_chat(spark, str(tmp_path / "images"), str(tmp_path / "text"), str(tmp_path / "chat"), SMALL)
+    assert spark.read.parquet(f"{tmp_path}/chat/failed").count() == 0
