@@ -30,7 +30,7 @@ DIMENSIONS = 8
 SIZES = (3, 4, 5)
 SEGMENT = 5
 #: Passages, and their characters, that are learnt from a longer text.
-PASSAGES, PASSAGE = 8, 2500
+PASSAGES, PASSAGE = 8, 12_000
 _STOPS = bytes.maketrans(b'\t\n\r\x0b\x0c.,;:!?"()[]{}|#%&<>/\\=+~`', b" " * 30)
 _PRIME = np.uint32(16777619)
 

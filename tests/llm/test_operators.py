@@ -299,7 +299,7 @@ def test_numbers_are_no_letters(spark):
 def test_toxic_sample_is_one_bounded_row_an_id(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.update(texts=texts, labels=labels))
-    docs = spark.createDataFrame([(1, "bad " * 20_000)] * 50 + [(i, f"fine {i}") for i in range(2, 40)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "bad " * 40_000)] * 50 + [(i, f"fine {i}") for i in range(2, 40)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 40)], "doc_id long, toxic int")
     toxicity.fit(docs, labels)
     assert seen["labels"].count(1) == 1 and len(seen["texts"]) == 39
