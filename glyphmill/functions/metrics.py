@@ -1,130 +1,86 @@
-"""Edit distances and the error rates made from them, as Spark expressions."""
+"""Edit distances and the error rates made from them, as columns."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from glyphmill.functions.text import let, words
+from glyphmill.functions.distances import distances
 
-# Bands tried before the full table. A band is exact whenever the distance is at
-# most its width, and gives up early when it is not.
-BANDS = (32, 128, 512, 2048)
+#: Characters of texts that are held as numbers at a time.
+HELD_CHARS = 1 << 23
 
-# Words are coded as the code points above the basic plane: 2**20 of them.
-FIRST_CODE = 0x10000
-MAX_WORDS = 0x100000
+Numbers = tuple[np.ndarray, np.ndarray]
 
 
 def edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance over code points, exact for every pair of texts.
 
-    Equal texts are settled by comparison. Others lose their common start and
-    end, which costs no edit, and the rest is searched in widening bands.
+    The built-in takes the square of the length however few the edits, so Arrow batches of pairs are compared
+    along their diagonals instead.
     """
-
-    def differing(pair: Column) -> Column:
-        # Cut and turned around twice, the texts lose both ends and read forwards again.
-        return let(_cut_start_and_turn(pair), lambda p: let(_cut_start_and_turn(p), _in_bands))
-
-    return F.when(a == b, 0).when(a != b, let(_pair(a, b), differing))
-
-
-def _in_bands(pair: Column) -> Column:
-    """The distance of a pair of texts, by the built-in with growing thresholds.
-
-    It answers -1 when the distance is above its threshold, and only then is the
-    next one tried. The last is the longer length, which no distance exceeds.
-    """
-    x, y = pair["x"], pair["y"]
-    longest = F.greatest(F.length(x), F.length(y))
-    return F.aggregate(
-        F.array(*[F.least(F.lit(t), longest) for t in BANDS], longest),
-        F.lit(-1),
-        lambda d, t: F.when(d >= 0, d).otherwise(_levenshtein(x, y, t)),
-    )
-
-
-def _pair(x: Column, y: Column) -> Column:
-    return F.struct(x.alias("x"), y.alias("y"))
-
-
-def _text_rest(text: Column, start: Column) -> Column:
-    return F.reverse(F.substring(text, start + 1, F.length(text)))
-
-
-def _cut_start_and_turn(
-    pair: Column,
-    length: Callable[[Column], Column] = F.length,
-    part: Callable[[Column, Column, Column], Column] = F.substring,
-    rest: Callable[[Column, Column], Column] = _text_rest,
-) -> Column:
-    """Both sides, texts or arrays, without their common start, reversed."""
-    x, y = pair["x"], pair["y"]
-    shorter = F.least(length(x), length(y))
-    top = F.floor(F.log2(F.greatest(shorter, F.lit(1)))).cast("int")
-
-    def longer(known: Column, step: Column) -> Column:
-        width = F.call_function("shiftleft", F.lit(1), top - step)
-        same = part(x, known + 1, width) == part(y, known + 1, width)
-        return F.when((known + width <= shorter) & same, known + width).otherwise(known)
-
-    # Halving widths: the start is known to agree up to ``known``, and is tried a step further.
-    shared = F.aggregate(F.sequence(F.lit(0), top), F.lit(0), longer)
-    return let(shared, lambda start: _pair(rest(x, start), rest(y, start)))
-
-
-def _levenshtein(x: Column, y: Column, threshold: Column) -> Column:
-    return F.call_function("levenshtein", x, y, threshold)
+    return F.pandas_udf(_characters_apart, "long")(a, b)
 
 
 def word_edit_distance(a: Column, b: Column) -> Column:
-    """Levenshtein distance over two arrays of words.
+    """Levenshtein distance over the whitespace-separated words of two texts, exact for any number of words."""
+    return _words_of(a, b)["edits"]
 
-    Common ends are cut. Each distinct word that both rests hold becomes one private code point,
-    which turns the word lists into strings for the built-in; words of one side alone match
-    nothing and share one code for each side. Null for more than 2**20 - 2 different words in
-    common; stored scores count such pairs in another way.
-    """
 
-    def code(shared: Column, ws: Column, alone: int) -> Column:
-        hexes = F.transform(ws, lambda w: F.lpad(F.hex(_place_in(shared, w, alone) + FIRST_CODE), 8, "0"))
-        return F.decode(F.unhex(F.array_join(hexes, "")), "UTF-32")
+def _words_of(a: Column, b: Column) -> Column:
+    return F.pandas_udf(_words_apart, "edits long, reference long, hypothesis long")(a, b)
 
-    def over(lists: Column) -> Column:
-        def coded(shared: Column) -> Column:
-            pair = _pair(code(shared, lists["x"], MAX_WORDS - 2), code(shared, lists["y"], MAX_WORDS - 1))
-            return F.when(F.size(shared) <= MAX_WORDS - 2, let(pair, _in_bands))
 
-        return let(F.array_sort(F.array_intersect(lists["x"], lists["y"])), coded)
+def _characters_apart(a: pd.Series, b: pd.Series) -> pd.Series:
+    def numbered(x: str, y: str) -> Numbers:
+        return tuple(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) for text in (x, y))
 
-    def differing(pair: Column) -> Column:
-        return let(_cut_words(pair), lambda p: let(_cut_words(p), over))
+    return _apart(a, b, numbered)
 
-    return F.when(a == b, 0).when(a != b, let(_pair(a, b), differing))
 
+def _words_apart(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    def numbered(x: str, y: str) -> Numbers:
+        codes: dict[str, int] = {}
+        return tuple(np.array([codes.setdefault(w, len(codes)) for w in text.split()], np.uint32) for text in (x, y))
 
-def _cut_words(pair: Column) -> Column:
-    def rest(ws: Column, start: Column) -> Column:
-        return F.reverse(F.slice(ws, start + 1, F.size(ws)))
+    def counted(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if text is None else len(text.split()) for text in texts], dtype="Int64")
 
-    return _cut_start_and_turn(pair, F.size, F.slice, rest)
+    return pd.DataFrame({"edits": _apart(a, b, numbered), "reference": counted(a), "hypothesis": counted(b)})
 
 
-def _place_in(words_in_order: Column, word: Column, otherwise: int) -> Column:
-    """The 0-based place of ``word`` in a sorted array, found by halving; ``otherwise`` if it is not there."""
-    n = F.size(words_in_order)
-    top = F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int")
+def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str], Numbers]) -> pd.Series:
+    """Distances of pairs of texts as ``numbered``; null where one is missing."""
+    found: list[int | None] = [None] * len(a)
+    places: list[int] = []
+    pairs: list[Numbers] = []
+    held = 0
 
-    def further(known: Column, step: Column) -> Column:
-        ahead = known + F.call_function("shiftleft", F.lit(1), top - step)
-        return F.when((ahead <= n) & (F.get(words_in_order, ahead - 1) <= word), ahead).otherwise(known)
+    def settle() -> None:
+        if places:
+            for at, edits in zip(places, distances(*map(list, zip(*pairs))).tolist(), strict=True):
+                found[at] = edits
+            places.clear()
+            pairs.clear()
 
-    # ``known`` words are known not to come after the one looked for.
-    known = F.aggregate(F.sequence(F.lit(0), top), F.lit(0), further)
-    return let(known, lambda k: F.when(F.get(words_in_order, k - 1) == word, k - 1).otherwise(otherwise))
+    for at, (x, y) in enumerate(zip(a, b, strict=True)):
+        if x is None or y is None:
+            continue
+        if x == y:
+            found[at] = 0
+            continue
+        if held + len(x) + len(y) > HELD_CHARS:
+            settle()
+            held = 0
+        places.append(at)
+        pairs.append(numbered(x, y))
+        held += len(x) + len(y)
+    settle()
+    return pd.Series(found, dtype="Int64")
 
 
 def cer(reference: Column, hypothesis: Column) -> Column:
@@ -140,14 +96,9 @@ def cer(reference: Column, hypothesis: Column) -> Column:
 
 def wer(reference: Column, hypothesis: Column) -> Column:
     """Word error rate over whitespace-separated words; zero words as in ``cer``."""
-
-    def rate(lists: Column) -> Column:
-        n = F.size(lists["x"])
-        return F.when(n == 0, F.when(F.size(lists["y"]) > 0, 1.0).otherwise(0.0)).otherwise(
-            word_edit_distance(lists["x"], lists["y"]) / n
-        )
-
-    return let(_pair(words(reference), words(hypothesis)), rate)
+    found = _words_of(reference, hypothesis)
+    n = found["reference"]
+    return F.when(n == 0, F.when(found["hypothesis"] > 0, 1.0).otherwise(0.0)).otherwise(found["edits"] / n)
 
 
 def percent(rate: Column, digits: int = 2, signed: bool = False) -> Column:

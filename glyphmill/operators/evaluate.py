@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphmill.functions.distances import distance
 from glyphmill.functions.metrics import cer, percent, wer
-from glyphmill.functions.text import words
 from glyphmill.operators.runlog import figures_of, observed
 from glyphmill.session import dealt, materialize
 
 # Score label -> column of the system's texts; the first is the baseline.
 SYSTEMS = {"raw": "raw", "ft": "finetuned"}
 DETAIL_ROWS = 20
-#: Code points of both texts of a pair from which stored scores do not take the built-in distance.
+#: Code points of both texts of a pair from which stored scores deal records out on their own.
 LONG_TEXT = 20_000
 ALL_ROWS_UP_TO = 50
 
@@ -65,8 +61,8 @@ def scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
 def stored_scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame:
     """``scores`` without the texts, stored once for the report and the summary.
 
-    Records of texts over ``LONG_TEXT`` are scored on their own, if there are any: the built-in distance takes the
-    square of a long text's length however few the edits, and has no answer for too many words in common.
+    Records of texts over ``LONG_TEXT`` are scored on their own, if there are any: dealt evenly among themselves,
+    as one of them takes as long as thousands of others.
     """
     texts = ["ground_truth", *systems.values()]
     long = F.coalesce(reduce(Column.__or__, [_long(c) for c in systems.values()]), F.lit(False))
@@ -74,45 +70,13 @@ def stored_scores(df: DataFrame, systems: dict[str, str] = SYSTEMS) -> DataFrame
     stored = materialize(scores(told.filter(~long), systems).drop(*texts), "scores")
     if not figures_of(seen, long=0)["long"]:
         return stored
-    return stored.unionByName(materialize(_scores_of_long(df.filter(long), systems).drop(*texts), "scores"))
+    return stored.unionByName(materialize(scores(df.filter(long), systems).drop(*texts), "scores"))
 
 
 def _long(column: str) -> Column:
     return F.least(F.length("ground_truth"), F.length(column)) > LONG_TEXT
 
 
-def _scores_of_long(df: DataFrame, systems: dict[str, str]) -> DataFrame:
-    """``scores`` by distances over arrays of numbers, in time of length and edits."""
-    counted, truth = F.pandas_udf(_distances, "chars long, words long"), F.col("ground_truth")
-    df = dealt(df)
-    for label, column in systems.items():
-        text = F.col(column)
-        df = df.withColumn("_words", words(truth)).withColumn("_own", words(text))
-        df = df.withColumn("_far", F.when(_long(column), counted(truth, text, F.col("_words"), F.col("_own"))))
-        n = F.size("_words")
-        by_words = F.when(n > 0, F.col("_far.words") / n).otherwise((F.size("_own") > 0).cast("double"))
-        df = df.withColumns(
-            {
-                f"{label}_cer": F.when(_long(column), F.col("_far.chars") / F.length(truth)).otherwise(cer(truth, text)),
-                f"{label}_wer": F.when(_long(column), by_words).otherwise(wer(truth, text)),
-            }
-        ).drop("_words", "_own", "_far")
-    return df.withColumns({name: F.col(f"{b}_cer") - F.col(f"{s}_cer") for b, s, name in _improvements(systems)})
-
-
-def _distances(truth: pd.Series, text: pd.Series, truth_words: pd.Series, text_words: pd.Series) -> pd.DataFrame:
-    def characters(x: str) -> np.ndarray:
-        return np.frombuffer(x.encode("utf-32-le"), np.uint32)
-
-    def of_words(x: np.ndarray, y: np.ndarray) -> int:
-        numbers = pd.factorize(np.concatenate([x, y]))[0]
-        return distance(numbers[: len(x)], numbers[len(x) :])
-
-    pairs = zip(truth, text, truth_words, text_words, strict=True)
-    found = [(distance(characters(a), characters(b)), of_words(x, y)) for a, b, x, y in pairs]
-    return pd.DataFrame(found, columns=["chars", "words"], dtype="int64")
-
-
 def _improvements(systems: dict[str, str]) -> list[tuple[str, str, str]]:
     base, *others = systems
     if len(others) == 1:

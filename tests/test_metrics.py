@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,16 @@ def test_long_near_equal_word_lists(pairs):
     assert by_row(pairs([(" ".join(many), " ".join(other))]), M.wer) == pytest.approx([10 / 40_000])
 
 
+def test_long_texts_take_the_time_of_their_edits(pairs):
+    # The built-in distance took the square of the length: minutes for this pair.
+    rng = random.Random(9)
+    a = "".join(rng.choice("abcd é") for _ in range(400_000))
+    b = "x" + a[:200_000] + a[200_001:] + "x"
+    started = time.monotonic()
+    assert by_row(pairs([(a, b)]), M.edit_distance) == [3]
+    assert time.monotonic() - started < 60
+
+
 def test_distance_bounds(pairs):
     data = list(random_pairs(60, 80, "abc", 3))
     for (a, b), d in zip(data, by_row(pairs(data), M.edit_distance)):

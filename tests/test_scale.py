@@ -123,6 +123,20 @@ def test_distances_of_numbers():
         assert want == 0 or distances._along_diagonals(x, y, want - 1) is None
 
 
+def test_distances_of_many_pairs_of_any_numbers():
+    rng = random.Random(2)
+    pairs = [([], []), ([], [7] * 40), ([1, 2, 3], [])]
+    for most in (6, 300, 70_000):
+        for _ in range(200):
+            a = [rng.randrange(most) for _ in range(rng.randrange(40))]
+            b = list(a) if rng.random() < 0.6 else [rng.randrange(most) for _ in range(rng.randrange(40))]
+            for _ in range(rng.randrange(6)):
+                b.insert(rng.randrange(len(b) + 1), rng.randrange(most))
+            pairs.append((a, b))
+    got = distances.distances(*([np.array(side, dtype=int) for side in sides] for sides in zip(*pairs)))
+    assert got.tolist() == [edit_distance(a, b) for a, b in pairs]
+
+
 def test_word_rate_of_more_words_than_code_points(spark):
     n = 1_100_000
     expected = {"a": 4 / n, "b": 0.5}
