@@ -59,11 +59,13 @@ MARKDOWN_RULES: list[tuple[tuple[str, ...], str, str]] = [
     (("**",), r"(?d)\*\*(.+?)\*\*", "$1"),
     (("__",), r"(?d)__(.+?)__", "$1"),
     (("*",), r"(?d)\*(.+?)\*", "$1"),
-    (("_",), rf"(?d)_([^_{WS_CLASS}].*?[^_{WS_CLASS}])_", "$1"),
+    # The mark itself is looked for first, the character before it only there.
+    (("_",), rf"(?d)_((?![_{WS_CLASS}]).{{2,}}?(?=_)(?<![_{WS_CLASS}]))_", "$1"),
     (("~~",), r"(?d)~~(.+?)~~", "$1"),
-    (("](",), r"\[([^\]]+)\]\([^\)]+\)", "$1"),
-    (("![",), r"!\[([^\]]*)\]\([^\)]+\)", "$1"),
-    (("][",), r"\[([^\]]+)\]\[[^\]]*\]", "$1"),
+    # Nothing shorter ends at a bracket either: what was passed is not given back.
+    (("](",), r"\[([^\]]++)\]\([^\)]++\)", "$1"),
+    (("![",), r"!\[([^\]]*+)\]\([^\)]++\)", "$1"),
+    (("][",), r"\[([^\]]++)\]\[[^\]]*+\]", "$1"),
     (("```",), r"(?s)```.*?```", ""),
     (("~~~",), r"(?s)~~~.*?~~~", ""),
     (("    ", "\t"), r"(?md)^(?: {4}|\t).+$", ""),

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -105,3 +106,22 @@ def test_sample_key_keeps_letters_digits_and_three_signs(eval_column):
     )
     assert got == [re.sub(r"[^\w\-_\.]", "_", f"zpo_{i}_{7:03d}_{int(1.239 * 100)}ar") for i in ids]
     assert eval_column(["zpo_x"], T.language_of_key) == ["zpo"]
+
+
+def test_fast_markup_patterns_match_what_the_plain_ones_match(spark):
+    """Written for speed: each rule answers like the pattern that says the same plainly."""
+    plain = {
+        "_": rf"(?d)_([^_{T.WS_CLASS}].*?[^_{T.WS_CLASS}])_",
+        "](": r"\[([^\]]+)\]\([^\)]+\)",
+        "![": r"!\[([^\]]*)\]\([^\)]+\)",
+        "][": r"\[([^\]]+)\]\[[^\]]*\]",
+    }
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("__ab\n\u3000 𝒳é![]]()(") for _ in range(rng.randrange(40))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    fast = {markers[0]: pattern for markers, pattern, _ in T.MARKDOWN_RULES if markers[0] in plain}
+    assert fast.keys() == plain.keys()
+    for mark, pattern in fast.items():
+        one, other = (F.regexp_replace("t", p, "<$1>") for p in (pattern, plain[mark]))
+        assert df.filter(one != other).count() == 0
+        assert df.filter(one != F.col("t")).count() > 0
