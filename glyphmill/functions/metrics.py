@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from glyphmill.functions.distances import distances
 
+# Sent with the query: a rate needs no copy of this library where the executors run.
+for _name in (__name__, distances.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_name])
+
 #: Characters of texts that are held as numbers at a time.
 HELD_CHARS = 1 << 23
 

@@ -1,7 +1,10 @@
 import random
+import subprocess
+import sys
 import time
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from glyphmill.functions import metrics as M
@@ -111,6 +114,14 @@ def test_long_texts_take_the_time_of_their_edits(pairs):
     assert time.monotonic() - started < 60
 
 
+def test_distances_are_sent_with_the_query(tmp_path):
+    # An executor without this library on its path takes the function alone.
+    run = "import pickle, sys, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); print(f(pd.Series(['a b c']), pd.Series(['a c']))['edits'].tolist())"
+    sent = cloudpickle.dumps(M._words_apart)
+    done = subprocess.run([sys.executable, "-I", "-c", run], input=sent, cwd=tmp_path, capture_output=True, check=True)
+    assert done.stdout.split() == [b"[1]"]
+
+
 def test_distance_bounds(pairs):
     data = list(random_pairs(60, 80, "abc", 3))
     for (a, b), d in zip(data, by_row(pairs(data), M.edit_distance)):
