@@ -1,13 +1,18 @@
 """Reproducible random draws: a value depends only on (seed, index, name).
 
 The source of every draw is the MD5 digest of ``seed:index:name``. Its first
-eight hex digits give one uniform number, the next eight a second one.
+eight hex digits give one uniform number, the next eight a second one; together
+they go as one long.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,30 +29,48 @@ from glyphmill.config import (
     VARIANT_MIX,
     Normal,
 )
+from glyphmill.functions.md5 import first_bits
 from glyphmill.functions.text import let
 
+# Sent with the query: the draws need no copy of this library where the executors run.
+for _name in (__name__, first_bits.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_name])
+
 _MAX32 = 0xFFFFFFFF
 
 
 def digest(seed: Column, index: Column, name: Column | str) -> Column:
+    """The first 16 hex digits as a long, for single draws; many come cheaper from ``digests``."""
     name = F.lit(name) if isinstance(name, str) else name
-    return F.md5(F.concat_ws(":", seed.cast("string"), index.cast("string"), name))
+    hexes = F.md5(F.concat_ws(":", seed.cast("string"), index.cast("string"), name))
+    return F.conv(F.substring(hexes, 1, 16), 16, -10).cast("long")
+
+
+def digests(seed: int, index: Column, names: list[str]) -> Column:
+    """``digest`` of every name, as a struct of longs; in Arrow batches, one name after the other."""
+
+    def run(prefixes: pd.Series) -> pd.DataFrame:
+        found = first_bits(prefixes.to_numpy().astype("S"), names)
+        return pd.DataFrame(dict(zip(names, found, strict=True)))
 
+    prefix = F.concat_ws(":", F.lit(seed).cast("string"), index.cast("string"), F.lit(""))
+    return F.pandas_udf(run, ", ".join(f"{n} long" for n in names))(prefix)
 
-def uniform(hexes: Column, which: int = 0) -> Column:
+
+def uniform(bits: Column, which: int = 0) -> Column:
     """The ``which``-th uniform number in [0, 1] of a digest."""
-    number = F.conv(F.substring(hexes, 8 * which + 1, 8), 16, 10)
+    number = bits.bitwiseAND(F.lit(_MAX32)) if which else F.shiftrightunsigned(bits, 32)
     return number.cast("double") / float(_MAX32)
 
 
-def uniform_between(hexes: Column, low: Column | float, high: Column | float) -> Column:
-    return low + uniform(hexes) * (high - low)
+def uniform_between(bits: Column, low: Column | float, high: Column | float) -> Column:
+    return low + uniform(bits) * (high - low)
 
 
-def normal(hexes: Column, spec: Normal) -> Column:
+def normal(bits: Column, spec: Normal) -> Column:
     """A normal draw (Box-Muller), clamped and turned into its type."""
-    z = F.sqrt(-2 * F.ln(F.greatest(uniform(hexes, 0), F.lit(1e-10)))) * F.cos(
-        2 * math.pi * uniform(hexes, 1)
+    z = F.sqrt(-2 * F.ln(F.greatest(uniform(bits, 0), F.lit(1e-10)))) * F.cos(
+        2 * math.pi * uniform(bits, 1)
     )
     raw = spec.median + z * spec.std
     if spec.low is not None:
@@ -63,9 +86,9 @@ def normal(hexes: Column, spec: Normal) -> Column:
     return raw
 
 
-def choice(hexes: Column, options: tuple[tuple[str, float], ...]) -> Column:
+def choice(bits: Column, options: tuple[tuple[str, float], ...]) -> Column:
     """The first option whose summed weight reaches u times the total; else the last."""
-    u = uniform(hexes) * sum(weight for _, weight in options)
+    u = uniform(bits) * sum(weight for _, weight in options)
     upto, picked = 0.0, None
     for option, weight in options:
         upto += weight
@@ -114,10 +137,46 @@ def is_valid_size(width: Column, height: Column, chars: Column) -> Column:
     )
 
 
-def size_plan(seed: int, index: Column, chars: Column) -> Column:
+#: What the first attempt at a size is drawn from.
+SIZE_DIGESTS = ["short_side", "ar_archetype", *[f"ar_{a}" for a in ASPECT_RANGES]]
+FIRST_SIZE = ["_archetype", "_side", "_ratio"]
+
+_NO_SIZE = (
+    "cast(named_struct('ok', false, 'attempt', null, 'archetype', null, 'short_side', null,"
+    " 'aspect_ratio', null, 'width', null, 'height', null) as struct<ok:boolean,attempt:int,"
+    "archetype:string,short_side:int,aspect_ratio:double,width:int,height:int>)"
+)
+
+
+def _side(bits: Column) -> Column:
+    side = normal(bits, NORMALS["short_side"])
+    return F.greatest(F.lit(MIN_SIDE), F.least(F.lit(MAX_SHORT_SIDE), side))
+
+
+def _ratio(bits: Column, archetype: Column) -> Column:
+    low, high = (_by_archetype(archetype, {a: r[i] for a, r in ASPECT_RANGES.items()}) for i in (0, 1))
+    return uniform_between(bits, low, high)
+
+
+def _sized(attempt: Column, archetype: Column, side: Column, ratio: Column, chars: Column) -> Column:
+    wide = ratio >= 1.0
+    width = F.when(wide, (side * ratio).cast("int")).otherwise(side)
+    height = F.when(wide, side).otherwise((side / ratio).cast("int"))
+    return F.struct(
+        is_valid_size(width, height, chars).alias("ok"),
+        attempt.alias("attempt"),
+        archetype.alias("archetype"),
+        side.alias("short_side"),
+        ratio.alias("aspect_ratio"),
+        width.alias("width"),
+        height.alias("height"),
+    )
+
+
+def size_plan(seed: int, index: Column, chars: Column, start: int = 0) -> Column:
     """``STRUCT<ok, attempt, archetype, short_side, aspect_ratio, width, height>``.
 
-    The first of 11 attempts, each with the next seed, whose size suits the
+    The first of 11 attempts (from ``start`` on), each with the next seed, whose size suits the
     number of characters. Later attempts are not computed once one fits.
     """
 
@@ -125,63 +184,55 @@ def size_plan(seed: int, index: Column, chars: Column) -> Column:
         s = F.lit(seed) + k
         drawn = F.struct(
             k.alias("attempt"),
-            normal(digest(s, index, "short_side"), NORMALS["short_side"]).alias("side"),
-            choice(digest(s, index, "ar_archetype"), CHOICES["ar_archetype"]).alias("archetype"),
+            let(digest(s, index, "short_side"), _side).alias("side"),
+            let(digest(s, index, "ar_archetype"), lambda d: choice(d, CHOICES["ar_archetype"])).alias("archetype"),
         )
         return let(drawn, lambda d: let(with_ratio(d), sized))
 
     def with_ratio(d: Column) -> Column:
-        low, high = (
-            _by_archetype(d["archetype"], {a: r[i] for a, r in ASPECT_RANGES.items()})
-            for i in (0, 1)
-        )
-        hexes = digest(
+        bits = digest(
             F.lit(seed) + d["attempt"], index, F.concat(F.lit("ar_"), d["archetype"])
         )
-        side = F.greatest(F.lit(MIN_SIDE), F.least(F.lit(MAX_SHORT_SIDE), d["side"]))
         return F.struct(
             d["attempt"].alias("attempt"),
             d["archetype"].alias("archetype"),
-            side.alias("side"),
-            uniform_between(hexes, low, high).alias("ratio"),
+            d["side"].alias("side"),
+            _ratio(bits, d["archetype"]).alias("ratio"),
         )
 
     def sized(d: Column) -> Column:
-        wide = d["ratio"] >= 1.0
-        width = F.when(wide, (d["side"] * d["ratio"]).cast("int")).otherwise(d["side"])
-        height = F.when(wide, d["side"]).otherwise((d["side"] / d["ratio"]).cast("int"))
-        return F.struct(
-            is_valid_size(width, height, chars).alias("ok"),
-            d["attempt"].alias("attempt"),
-            d["archetype"].alias("archetype"),
-            d["side"].alias("short_side"),
-            d["ratio"].alias("aspect_ratio"),
-            width.alias("width"),
-            height.alias("height"),
-        )
+        return _sized(d["attempt"], d["archetype"], d["side"], d["ratio"], chars)
 
-    none_yet = F.expr(
-        "cast(named_struct('ok', false, 'attempt', null, 'archetype', null, 'short_side', null,"
-        " 'aspect_ratio', null, 'width', null, 'height', null) as struct<ok:boolean,attempt:int,"
-        "archetype:string,short_side:int,aspect_ratio:double,width:int,height:int>)"
-    )
     return F.aggregate(
-        F.sequence(F.lit(0), F.lit(SIZE_ATTEMPTS - 1)),
-        none_yet,
+        F.sequence(F.lit(start), F.lit(SIZE_ATTEMPTS - 1)),
+        F.expr(_NO_SIZE),
         lambda found, k: F.when(found["ok"], found).otherwise(attempt(k)),
     )
 
 
-def _by_archetype(archetype: Column, values: dict[str, float]) -> Column:
+def first_size_draws(drawn: dict[str, Column]) -> dict[str, Column]:
+    """The columns ``FIRST_SIZE`` of the first attempt, from the digests ``SIZE_DIGESTS``."""
+    archetype = choice(drawn["ar_archetype"], CHOICES["ar_archetype"])
+    bits = _by_archetype(archetype, {a: drawn[f"ar_{a}"] for a in ASPECT_RANGES})
+    return dict(zip(FIRST_SIZE, (archetype, _side(drawn["short_side"]), _ratio(bits, archetype)), strict=True))
+
+
+def size_plan_from(seed: int, index: Column, chars: Column) -> Column:
+    """``size_plan`` where the first attempt is drawn: only blocks that it does not suit are searched further."""
+    first = _sized(F.lit(0), *map(F.col, FIRST_SIZE), chars)
+    return F.when(first["ok"], first).otherwise(size_plan(seed, index, chars, start=1))
+
+
+def _by_archetype(archetype: Column, values: dict[str, float] | dict[str, Column]) -> Column:
     picked = None
     for name, value in values.items():
         picked = (F.when if picked is None else picked.when)(archetype == name, value)
     return picked
 
 
-def jittered_channel(hexes: Column, base: Column, variance: Column) -> Column:
+def jittered_channel(bits: Column, base: Column, variance: Column) -> Column:
     """One colour channel: the base moved uniformly within the variance, kept in 0..255."""
-    moved = base + uniform_between(hexes, -variance, variance)
+    moved = base + uniform_between(bits, -variance, variance)
     return F.greatest(F.lit(0.0), F.least(F.lit(255.0), moved)).cast("int")
 
 

@@ -31,23 +31,27 @@ MANIFEST_COLUMNS = [
 
 
 def with_draws(df: DataFrame, seed: int = 42, index: str = "chunk_no") -> DataFrame:
-    """All draws that do not depend on the text. Each digest is computed once."""
-    i = F.col(index)
-    hashed = df.withColumns(
-        {f"_h_{name}": D.digest(F.lit(seed), i, name) for name in _DIGESTED}
-    )
-    drawn = {n: D.normal(F.col(f"_h_{n}"), s) for n, s in NORMALS.items() if n != "short_side"}
-    drawn |= {n: D.choice(F.col(f"_h_{n}"), o) for n, o in CHOICES.items() if n != "ar_archetype"}
-    padding = D.uniform_between(F.col("_h_extent_padding"), *map(float, PADDING_RANGE))
-    drawn["extent_padding"] = padding.cast("int")
+    """All draws that do not depend on the text."""
+    return _with_draws(df, seed, index, [])
+
+
+def _with_draws(df: DataFrame, seed: int, index: str, more: list[str]) -> DataFrame:
+    """The digests of all draws (and of ``more``) are made together, each once."""
+    hashed = df.withColumn("_h", D.digests(seed, F.col(index), [*_DIGESTED, *more]))
+    h = {n: F.col(f"_h.{n}") for n in (*_DIGESTED, *more)}
+    drawn = {n: D.normal(h[n], s) for n, s in NORMALS.items() if n != "short_side"}
+    drawn |= {n: D.choice(h[n], o) for n, o in CHOICES.items() if n != "ar_archetype"}
+    drawn["extent_padding"] = D.uniform_between(h["extent_padding"], *map(float, PADDING_RANGE)).cast("int")
+    if more:
+        drawn |= D.first_size_draws(h)
     # The font's lambda keeps these 35 columns out of whole-stage code: as one method
     # they are too long for the JIT and run about 1.6 times slower.
-    drawn["font"] = D.font(seed, i)
+    drawn["font"] = D.font(seed, F.col(index))
     hashed = hashed.withColumns(drawn)
 
     def channel(name: str) -> Column:
         base = F.col("background_gray" if name.startswith("bg") else "text_gray")
-        jittered = D.jittered_channel(F.col(f"_h_{name}"), base, F.col("color_variance"))
+        jittered = D.jittered_channel(h[name], base, F.col("color_variance"))
         return F.when(F.col("use_color"), jittered).otherwise(base)
 
     return hashed.withColumns(
@@ -55,7 +59,7 @@ def with_draws(df: DataFrame, seed: int = 42, index: str = "chunk_no") -> DataFr
             "bg_color": D.rgb(*[channel(n) for n in CHANNELS[:3]]),
             "text_color": D.rgb(*[channel(n) for n in CHANNELS[3:]]),
         }
-    ).drop(*[f"_h_{n}" for n in _DIGESTED])
+    ).drop("_h")
 
 
 def with_text_region(df: DataFrame) -> DataFrame:
@@ -123,12 +127,13 @@ def planned_blocks(blocks: DataFrame, seed: int = 42) -> DataFrame:
 
     ``reject_reason`` is null for accepted blocks. Narrow: one pass, no shuffle.
     """
-    drawn = with_draws(blocks.filter(~is_blank(F.col("block_text"))), seed)
+    drawn = _with_draws(blocks.filter(~is_blank(F.col("block_text"))), seed, "chunk_no", D.SIZE_DIGESTS)
     drawn = drawn.withColumn("text", upper_if(F.col("uppercase"), reflow(F.col("block_text"))))
-    size = D.size_plan(seed, F.col("chunk_no"), F.length("text"))
+    drawn = drawn.withColumn("_chars", F.length("text"))
+    size = D.size_plan_from(seed, F.col("chunk_no"), F.col("_chars"))
     # A generator, because filters on its columns stay above it. On a plain column
     # they would move to the scan and take the whole size search with them.
-    planned = drawn.select("*", F.inline_outer(F.array(size)))
+    planned = drawn.select("*", F.inline_outer(F.array(size))).drop("_chars", *D.FIRST_SIZE)
     return planned.withColumn("reject_reason", F.when(~F.col("ok"), "no valid size in 11 attempts"))
 
 

@@ -40,6 +40,38 @@ def test_normal_draws_follow_the_rule(drawn):
             assert r[name] == pytest.approx(expected, abs=1e-9), (name, r.chunk_no)
 
 
+def test_digests_of_many_names_at_once(spark):
+    names = ["n", "ptsize", "morphology_kernel", "n" * 40, "n" * 130]
+    indexes = [None, 0, 1, -7, 12, 123_456, 2**62, *range(95, 105)]
+    rows = spark.createDataFrame([(i,) for i in indexes], "i long").repartition(2)
+    for seed in (42, -(2**62)):
+        named = {f"n{k}": n for k, n in enumerate(names)}
+        many = D.digests(seed, F.col("i"), names).alias("many")
+        one = F.struct(*[D.digest(F.lit(seed), F.col("i"), n).alias(k) for k, n in named.items()]).alias("one")
+        for r in rows.select("i", many, one).collect():
+            start = f"{seed}:" if r.i is None else f"{seed}:{r.i}:"
+            want = [int.from_bytes(hashlib.md5((start + n).encode()).digest()[:8], "big", signed=True) for n in names]
+            assert list(r.many) == list(r.one) == want
+
+
+def test_draws_of_a_block_are_not_digested_one_by_one(spark):
+    rows = spark.range(1, 10).withColumnRenamed("id", "chunk_no")
+    plan = M.with_draws(rows, 42)._jdf.queryExecution().executedPlan().toString()
+    assert "md5(" not in plan and "conv(" not in plan
+
+
+def test_sizes_of_blocks_are_those_of_the_search(spark):
+    texts = F.expr("repeat('a', cast(1 + id * 37 % 3000 as int))")
+    rows = spark.range(1, 400).select(
+        F.col("id").alias("chunk_no"), F.lit("r").alias("id"), F.lit("zpo").alias("language"), F.lit(1).alias("block_idx"), texts.alias("block_text")
+    )
+    names = ["ok", "attempt", "archetype", "short_side", "aspect_ratio", "width", "height"]
+    got = M.planned_blocks(rows).select("chunk_no", *names).collect()
+    want = rows.select("chunk_no", F.inline(F.array(D.size_plan(42, F.col("chunk_no"), F.length("block_text"))))).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert len({r.attempt for r in got}) > 5
+
+
 def test_rates_of_flags(drawn):
     expected = {
         "use_color": 0.253, "uppercase": 0.048, "use_ebc": 0.048, "use_dirty": 0.048,
