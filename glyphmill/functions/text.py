@@ -74,21 +74,42 @@ MARKDOWN_RULES: list[tuple[tuple[str, ...], str, str]] = [
 ]
 
 
+# How many rules in turn have markers that all hold one of the parts: without these, none of the rules applies.
+_RULE_GROUPS: list[tuple[int, tuple[str, ...]]] = [
+    (1, ("#",)), (6, ("*", "_")), (1, ("~~",)), (3, ("[",)), (1, ("```",)), (1, ("~~~",)), (3, ("  ", "\t", "\n\n\n")),
+]
+
+
 def clean_markdown(c: Column) -> Column:
     """Markup removed in rule order, then stripped; null and empty stay as they are.
 
     A rule's regex runs only on texts that hold its marker. Most texts hold few,
     and a byte search is far cheaper than a regex pass over every text.
     """
-    for rule in MARKDOWN_RULES:
-        c = let(c, _when_marked(*rule))
+    rules = iter(MARKDOWN_RULES)
+    for n, parts in _RULE_GROUPS:
+        c = let(c, _when_marked(parts, _by_rules([next(rules) for _ in range(n)])))
     return strip(c)
 
 
-def _when_marked(markers: tuple[str, ...], pattern: str, replacement: str):
+def _when_marked(markers: tuple[str, ...], changed: Callable[[Column], Column]) -> Callable[[Column], Column]:
     def apply(t: Column) -> Column:
         marked = reduce(Column.__or__, [F.contains(t, F.lit(m)) for m in markers])
-        return F.when(marked, F.regexp_replace(t, pattern, replacement)).otherwise(t)
+        return F.when(marked, changed(t)).otherwise(t)
+
+    return apply
+
+
+def _by_rules(rules: list[tuple[tuple[str, ...], str, str]]) -> Callable[[Column], Column]:
+    def replaced(pattern: str, replacement: str) -> Callable[[Column], Column]:
+        return lambda t: F.regexp_replace(t, pattern, replacement)
+
+    def apply(t: Column) -> Column:
+        if len(rules) == 1:  # its marker was found
+            return replaced(*rules[0][1:])(t)
+        for markers, *rule in rules:
+            t = let(t, _when_marked(markers, replaced(*rule)))
+        return t
 
     return apply
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glyphmill.config import CHOICES, NORMALS, PADDING_RANGE
 from glyphmill.functions import draws as D
-from glyphmill.functions.text import is_blank, reflow, sample_key, upper_if
+from glyphmill.functions.text import is_blank, let, reflow, sample_key, upper_if
 
 CHANNELS = ("bg_r", "bg_g", "bg_b", "txt_r", "txt_g", "txt_b")
 # short_side and ar_archetype are drawn again for every size attempt.
@@ -76,7 +76,8 @@ def with_text_region(df: DataFrame) -> DataFrame:
 
 def _decimal(x: Column) -> Column:
     """A double in plain decimals with at least one place, like 0.0005 and 1.0."""
-    return F.regexp_replace(x.cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1")
+    bare = F.rtrim(x.cast("decimal(38,18)").cast("string"), F.lit("0"))
+    return let(bare, lambda n: F.when(F.endswith(n, F.lit(".")), F.concat(n, F.lit("0"))).otherwise(n))
 
 
 def effects() -> Column:

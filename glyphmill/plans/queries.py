@@ -472,8 +472,12 @@ def render_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _six_places(args: Column) -> Column:
     """Arguments between spaces and ``x`` with their numbers in one format."""
     def number(n: Column) -> Column:
-        value = n.try_cast("double")
-        return F.when(value.isNotNull(), F.format_string("%.6f", value)).otherwise(n)
+        def shown(value: Column) -> Column:
+            # What rounds to zero keeps its sign.
+            sign = F.when((value == 0) & F.startswith(n, F.lit("-")), "-").otherwise("")
+            return F.coalesce(F.concat(sign, value.cast("string")), n)
+
+        return T.let(n.try_cast("decimal(38,6)"), shown)
 
     def part(words: Column) -> Column:
         return F.array_join(F.transform(F.split(words, "x"), number), "x")
