@@ -237,4 +237,4 @@ def jittered_channel(bits: Column, base: Column, variance: Column) -> Column:
 
 
 def rgb(r: Column, g: Column, b: Column) -> Column:
-    return F.format_string("rgb(%d,%d,%d)", r, g, b)
+    return F.concat(F.lit("rgb("), r, F.lit(","), g, F.lit(","), b, F.lit(")"))

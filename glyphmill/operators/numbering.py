@@ -19,7 +19,7 @@ HASH_DIGITS = 4
 HASH_BUCKETS = 16**HASH_DIGITS
 #: Pieces that ordinals are cut into, whose sizes the driver sees, and the bytes that a task should get.
 STRETCHES = 16_384
-TASK_BYTES = 64 * 1024 * 1024
+TASK_BYTES = 16 * 1024 * 1024
 
 
 def run_starts(df: DataFrame, runs: list[str], first: str) -> DataFrame:

@@ -97,3 +97,13 @@ def dealt(df: DataFrame) -> DataFrame:
     For work that costs far more than moving its input, like edit distances.
     """
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by a unique key over several tasks a core, so that none is left to run alone at the end.
+
+    A scan of stored files makes about one task a core, or one more, whatever their rows cost.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, key)

@@ -60,6 +60,14 @@ def test_draws_of_a_block_are_not_digested_one_by_one(spark):
     assert "md5(" not in plan and "conv(" not in plan
 
 
+def test_draws_are_dealt_over_several_tasks_a_core(spark):
+    rows = spark.range(1, 2000, 1, 1).select(
+        F.col("id").alias("chunk_no"), F.lit("r").alias("id"), F.lit("zpo").alias("language"), F.lit(1).alias("block_idx"), F.lit("some text").alias("block_text")
+    )
+    tasks = M.render_manifest(rows).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 4 * spark.sparkContext.defaultParallelism and max(r["count"] for r in tasks) < 250
+
+
 def test_sizes_of_blocks_are_those_of_the_search(spark):
     texts = F.expr("repeat('a', cast(1 + id * 37 % 3000 as int))")
     rows = spark.range(1, 400).select(
