@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Callable
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -18,7 +20,7 @@ for _name in (__name__, distances.__module__):
     cloudpickle.register_pickle_by_value(sys.modules[_name])
 
 #: Characters of texts that are held as numbers at a time.
-HELD_CHARS = 1 << 23
+HELD_CHARS = 1 << 24
 
 Numbers = tuple[np.ndarray, np.ndarray]
 
@@ -42,24 +44,31 @@ def _words_of(a: Column, b: Column) -> Column:
 
 
 def _characters_apart(a: pd.Series, b: pd.Series) -> pd.Series:
-    def numbered(x: str, y: str) -> Numbers:
+    def numbered(x: str, y: str, at: int) -> Numbers:
         return tuple(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32) for text in (x, y))
 
     return _apart(a, b, numbered)
 
 
 def _words_apart(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    def numbered(x: str, y: str) -> Numbers:
-        codes: dict[str, int] = {}
-        return tuple(np.array([codes.setdefault(w, len(codes)) for w in text.split()], np.uint32) for text in (x, y))
+    counts = [[None if text is None else -1 for text in texts] for texts in (a, b)]
 
-    def counted(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if text is None else len(text.split()) for text in texts], dtype="Int64")
+    def numbered(x: str, y: str, at: int) -> Numbers:
+        codes: dict[str, int] = defaultdict(count().__next__)
+        pair = tuple(np.fromiter(map(codes.__getitem__, words := text.split()), np.uint32, len(words)) for text in (x, y))
+        counts[0][at], counts[1][at] = map(len, pair)
+        return pair
 
-    return pd.DataFrame({"edits": _apart(a, b, numbered), "reference": counted(a), "hypothesis": counted(b)})
+    edits = _apart(a, b, numbered)
+    for texts, found in zip((a, b), counts, strict=True):
+        for at, text in enumerate(texts):
+            if found[at] == -1:
+                found[at] = len(text.split())
+    reference, hypothesis = (pd.Series(found, dtype="Int64") for found in counts)
+    return pd.DataFrame({"edits": edits, "reference": reference, "hypothesis": hypothesis})
 
 
-def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str], Numbers]) -> pd.Series:
+def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str, int], Numbers]) -> pd.Series:
     """Distances of pairs of texts as ``numbered``; null where one is missing."""
     found: list[int | None] = [None] * len(a)
     places: list[int] = []
@@ -73,18 +82,21 @@ def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str], Numbers])
             places.clear()
             pairs.clear()
 
+    sizes: dict[int, int] = {}
     for at, (x, y) in enumerate(zip(a, b, strict=True)):
-        if x is None or y is None:
-            continue
-        if x == y:
-            found[at] = 0
-            continue
-        if held + len(x) + len(y) > HELD_CHARS:
+        if x is not None and y is not None:
+            if x == y:
+                found[at] = 0
+            else:
+                sizes[at] = len(x) + len(y)
+    # Pairs of like length are held together, as many as can be: they share each step.
+    for at in sorted(sizes, key=sizes.__getitem__):
+        if held + sizes[at] > HELD_CHARS:
             settle()
             held = 0
         places.append(at)
-        pairs.append(numbered(x, y))
-        held += len(x) + len(y)
+        pairs.append(numbered(a.iat[at], b.iat[at], at))
+        held += sizes[at]
     settle()
     return pd.Series(found, dtype="Int64")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -137,6 +138,70 @@ def test_distances_of_many_pairs_of_any_numbers():
     assert got.tolist() == [edit_distance(a, b) for a, b in pairs]
 
 
+def edited_numbers(rng, a, most, share):
+    """``a`` with a share of its numbers changed, dropped or doubled."""
+    b = []
+    for x in a:
+        what = rng.random() / share if share else 1
+        b += [x] if what >= 1 else [rng.randrange(most)] if what < 0.5 else [] if what < 0.75 else [x, rng.randrange(most)]
+    return b
+
+
+@pytest.mark.parametrize("words", [1 << 20, 200])
+@pytest.mark.parametrize("rows", [64, 128, 1024])
+def test_distances_through_blocks(monkeypatch, rows, words):
+    # Every pair goes through blocks, in many parts or few, with few blocks side by side, with tables of places or without.
+    monkeypatch.setattr(distances, "PART_ROWS", rows)
+    monkeypatch.setattr(distances, "PLACE_WORDS", words)
+    monkeypatch.setattr(distances, "BLOCK_ROOM", 100)
+    rng = random.Random(rows + words)
+    pairs = []
+    for most in (1, 2, 4, 30, 1000):
+        for n in (1, 63, 64, 65, 128, 300, 520):
+            a = [rng.randrange(most) for _ in range(n)]
+            at = rng.randrange(n)
+            others = [edited_numbers(rng, a, most, share) for share in (0, 0.02, 0.1, 0.4)]
+            # A part is missing, comes twice, or is elsewhere; nothing in common.
+            others += [a[:at] + a[at + 150 :], a + a[at : at + 150], a[at:] + a[:at], a[::-1], [most + x for x in a[:200]]]
+            pairs += [(np.array(a), np.array(b, dtype=int)) for b in others if b]
+    a, b = map(list, zip(*pairs))
+    want = [distances._by_bits(x, y) for x, y in pairs]
+    found = np.full(len(pairs), -1)
+    for group in distances._Blocks.of(a, b):
+        found[group.places] = group.distances()
+    assert found.tolist() == want == distances.distances(a, b).tolist()
+
+
+def test_repeated_passages_are_cut_in_the_right_place_or_found_out(monkeypatch):
+    monkeypatch.setattr(distances, "PART_ROWS", 128)
+    rng = random.Random(4)
+    pairs = []
+    for period in (3, 40, 90, 200):
+        a = [rng.randrange(20) for _ in range(period)] * (1500 // period)
+        for b in (a[period:], a[: len(a) // 2] + a[len(a) // 2 + period :], edited_numbers(rng, a, 20, 0.05), edited_numbers(rng, a[2 * period :], 20, 0.1)):
+            pairs.append((np.array(a), np.array(b)))
+    a, b = map(list, zip(*pairs))
+    (group,) = distances._Blocks.of(a, b)
+    assert group.distances().tolist() == [distances._by_bits(x, y) for x, y in pairs]
+
+
+def test_time_does_not_grow_with_the_square_of_the_edits():
+    # Along diagonals alone four times the edits took seven times as long.
+    rng = random.Random(6)
+    a = [[rng.randrange(40) for _ in range(20_000)] for _ in range(24)]
+
+    def seconds(share):
+        b = [np.array(edited_numbers(rng, x, 40, share)) for x in a]
+        started = time.process_time()
+        found = distances.distances([np.array(x) for x in a], b)
+        took = time.process_time() - started
+        assert (found > 0.6 * share * 20_000).all()
+        return took
+
+    few, many = min(seconds(0.03) for _ in range(2)), min(seconds(0.12) for _ in range(2))
+    assert many < 4 * few
+
+
 def test_word_rate_of_more_words_than_code_points(spark):
     n = 1_100_000
     expected = {"a": 4 / n, "b": 0.5}
