@@ -83,7 +83,8 @@ def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str, int], Numbe
             pairs.clear()
 
     sizes: dict[int, int] = {}
-    for at, (x, y) in enumerate(zip(a, b, strict=True)):
+    texts = list(zip(a, b, strict=True))
+    for at, (x, y) in enumerate(texts):
         if x is not None and y is not None:
             if x == y:
                 found[at] = 0
@@ -95,7 +96,7 @@ def _apart(a: pd.Series, b: pd.Series, numbered: Callable[[str, str, int], Numbe
             settle()
             held = 0
         places.append(at)
-        pairs.append(numbered(a.iat[at], b.iat[at], at))
+        pairs.append(numbered(*texts[at], at))
         held += sizes[at]
     settle()
     return pd.Series(found, dtype="Int64")
