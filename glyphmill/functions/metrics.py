@@ -29,7 +29,7 @@ def edit_distance(a: Column, b: Column) -> Column:
     """Levenshtein distance over code points, exact for every pair of texts.
 
     The built-in takes the square of the length however few the edits, so Arrow batches of pairs are compared
-    along their diagonals instead.
+    along their diagonals and in blocks of bits instead.
     """
     return F.pandas_udf(_characters_apart, "long")(a, b)
 
